@@ -137,7 +137,7 @@ _PARTS = {
 _PARTS_SQL = ", ".join(f"{value} AS {name}" for name, value in _PARTS.items())
 TIME = f"""
 time_dim AS (SELECT DISTINCT arrival_time AS arrival_ts, {_PARTS_SQL} FROM clean)"""
-_ID = "concat_ws('-', i94yr::integer, i94mon::integer, cicid)"
+_ID = "i94yr::integer || '-' || i94mon::integer || '-' || cicid"
 _LEFT = "timestamp '1960-01-01' + to_days(trunc(depdate)::integer)"
 FACT = f"""
 fact AS (

@@ -218,7 +218,7 @@ def _(spark, sf):
 def _(spark, sf):
     path = workspace(spark)
     writers.write_clean_csv(b.ports(spark, sf), path)
-    return spark.read.schema(PORTS).option("header", True).csv(path)
+    return lookups.scan_list(spark, path, PORTS)
 
 
 @register("run_stamp")
@@ -306,7 +306,7 @@ def _(spark, sf):
 
 @register("join_fact_port_spread")
 def _(spark, sf):
-    return jn.join_fact_port(b.clean(spark, sf, "cicid", "i94port"), b.ports(spark, sf), limit=-1)
+    return jn.join_fact_port(b.clean(spark, sf, "cicid", "i94port"), b.ports(spark, sf), limit=-1, rows_per_task=50)
 
 
 @register("join_fact_time")

@@ -22,11 +22,15 @@ def same_number(left: Column, right: Column) -> Column:
 
 
 def natural_id(df: DataFrame) -> Column:
-    """Year, month and record number of the extract row: the same on every run."""
+    """Year, month and record number of the extract row: the same on every run.
+
+    Null if any of them is, so that the key check finds the row.
+    """
     record = df["cicid"]
     if df.schema["cicid"].dataType.typeName() == "double":
         record = record.cast("bigint")
-    return F.concat_ws("-", df["i94yr"].cast("int"), df["i94mon"].cast("int"), record)
+    year, month = df["i94yr"].cast("int").cast("string"), df["i94mon"].cast("int").cast("string")
+    return F.concat(year, F.lit("-"), month, F.lit("-"), record.cast("string"))
 
 
 def run_id() -> Column:

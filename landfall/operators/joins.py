@@ -1,7 +1,7 @@
 """Inner equi-joins of many rows with a code list.
 
 A list is broadcast only after its size was measured.  A longer one is joined by
-shuffle, with the rows of frequent keys spread over several tasks.
+shuffle, with the rows of frequent keys spread over as many tasks as they fill.
 """
 
 from __future__ import annotations
@@ -12,11 +12,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from landfall.functions.keys import as_integer, as_number
+from landfall.session import workspace
+from landfall.sinks.writers import write_overwrite
+from landfall.sources.tables import scan_parquet
 
 BROADCAST_LIMIT = 64 * 1024 * 1024
-SALTS = 16
-# A key on more than this share of the rows counts as frequent, so at most 1/share keys do.
-FREQUENT_SHARE = 0.002
+# A key on more rows than this is spread over as many tasks as it takes to get below it.
+ROWS_PER_TASK = 1_000_000
 
 
 def lookup_bytes(lookup: DataFrame) -> int:
@@ -34,39 +36,62 @@ def join_lookup(
     lookup_key: str,
     as_key: Callable[[Column], Column] = lambda value: value,
     limit: int = BROADCAST_LIMIT,
-    salts: int = SALTS,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """``rows`` with the matching ``lookup`` columns; keys are compared through ``as_key``."""
     if lookup_bytes(lookup) <= limit:
         return rows.join(F.broadcast(lookup), as_key(rows[row_key]) == as_key(lookup[lookup_key]))
-    return _spread_join(rows, lookup, row_key, lookup_key, as_key, salts)
+    return spread_join(rows, lookup, row_key, lookup_key, as_key, rows_per_task)
 
 
-def _spread_join(rows, lookup, row_key, lookup_key, as_key, salts):
-    """Shuffle join in which each frequent key has ``salts`` partitions instead of one.
+def frequent_keys(keyed: DataFrame, rows_per_task: int) -> DataFrame:
+    """Keys on too many rows for one task, with the number of tasks each is to be spread over.
 
-    Frequent keys come from one pass over the key column that misses none above the
-    share and returns at most 1/share of them; naming a rare key too does no harm.
-    The salt is a hash of the row, so a task that is run again sends rows the same way.
+    Rows are counted in each task before they are shuffled.  The counts are written
+    to the shared folder, as they are needed on both sides of the join.  There are at
+    most rows/``rows_per_task`` such keys; if they should still be too many to
+    broadcast, only the most frequent are spread.
+    """
+    spark = keyed.sparkSession
+    path = f"{workspace(spark)}/frequent"
+    counted = keyed.where(F.col("_key").isNotNull()).groupBy("_key").agg(F.count(F.lit(1)).alias("_rows"))
+    write_overwrite(counted.where(F.col("_rows") > rows_per_task), path)
+    frequent = scan_parquet(spark, path)
+    least = rows_per_task
+    while lookup_bytes(frequent) > BROADCAST_LIMIT:
+        least *= 2
+        frequent = frequent.where(F.col("_rows") > least)
+    return frequent.select(
+        F.col("_key").alias("_frequent"), F.ceil(F.col("_rows") / rows_per_task).alias("_tasks")
+    )
+
+
+def spread_join(
+    rows: DataFrame,
+    lookup: DataFrame,
+    row_key: str,
+    lookup_key: str,
+    as_key: Callable[[Column], Column],
+    rows_per_task: int,
+) -> DataFrame:
+    """Shuffle join on the key and, for frequent keys only, a salt.
+
+    The salt is a hash of the row, so a task that is run again sends rows the same
+    way.  Copies of a row share a salt; adaptive execution splits what they overfill.
     """
     left = rows.withColumn("_key", as_key(F.col(row_key)))
     right = lookup.withColumn("_lookup_key", as_key(F.col(lookup_key)))
-    frequent = (
-        left.where(F.col("_key").isNotNull())
-        .stat.freqItems(["_key"], FREQUENT_SHARE)
-        .select(F.explode("_key_freqItems").alias("_frequent"))
-    )
-    is_frequent = F.col("_frequent").isNotNull()
+    frequent = F.broadcast(frequent_keys(left, rows_per_task))
+    tasks = F.coalesce(F.col("_tasks"), F.lit(1))
     left = (
-        left.join(F.broadcast(frequent), F.col("_key") == F.col("_frequent"), "left")
-        .withColumn("_salt", F.when(is_frequent, F.pmod(F.xxhash64(*rows.columns), F.lit(salts))).otherwise(F.lit(0)))
-        .drop("_frequent")
+        left.join(frequent, F.col("_key") == F.col("_frequent"), "left")
+        .withColumn("_salt", F.pmod(F.when(F.col("_tasks") > 1, F.xxhash64(*rows.columns)).otherwise(0), tasks))
+        .drop("_frequent", "_tasks")
     )
-    every_salt = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
     right = (
-        right.join(F.broadcast(frequent), F.col("_lookup_key") == F.col("_frequent"), "left")
-        .withColumn("_lookup_salt", F.explode(F.when(is_frequent, every_salt).otherwise(F.array(F.lit(0).cast("bigint")))))
-        .drop("_frequent")
+        right.join(frequent, F.col("_lookup_key") == F.col("_frequent"), "left")
+        .withColumn("_lookup_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), tasks - 1)))
+        .drop("_frequent", "_tasks")
     )
     met = (F.col("_key") == F.col("_lookup_key")) & (F.col("_salt") == F.col("_lookup_salt"))
     return left.join(right, met).drop("_key", "_lookup_key", "_salt", "_lookup_salt")

@@ -21,11 +21,6 @@ def run_path(base: str, table: str, stamp: str) -> str:
     return f"{base.rstrip('/')}/run={stamp}/{table}"
 
 
-def month_table(year: str, month: str) -> str:
-    """Name of one month's staging table."""
-    return f"i94_staging_{year}_{month}"
-
-
 def write_overwrite(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 

@@ -20,7 +20,8 @@ def scan_admissions(
     """All given extracts in one typed scan."""
     reader = spark.read.schema(schema).option("recursiveFileLookup", True)
     if file_format == "csv":
-        reader = reader.option("header", True)
+        # The header is checked against the schema rather than skipped.
+        reader = reader.option("header", True).option("enforceSchema", False).option("mode", "FAILFAST")
     return reader.format(file_format).load([paths] if isinstance(paths, str) else list(paths))
 
 

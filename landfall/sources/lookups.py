@@ -10,7 +10,8 @@ from landfall.functions.keys import as_integer
 from landfall.schemas import ISO, RAW_COUNTRIES, RAW_PORTS
 
 
-def _csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def scan_list(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A list with a header line, its columns named by position; a malformed line stops the job."""
     return (
         spark.read.schema(schema)
         .option("header", True)
@@ -23,17 +24,17 @@ def _csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 
 def scan_ports(spark: SparkSession, path: str) -> DataFrame:
     """Raw port list: quoted code, quoted ``NAME, STATE``."""
-    return _csv(spark, path, RAW_PORTS)
+    return scan_list(spark, path, RAW_PORTS)
 
 
 def scan_countries(spark: SparkSession, path: str) -> DataFrame:
     """Raw country list: code, quoted name, ISO number."""
-    return _csv(spark, path, RAW_COUNTRIES)
+    return scan_list(spark, path, RAW_COUNTRIES)
 
 
 def scan_iso(spark: SparkSession, path: str) -> DataFrame:
     """ISO-3166 list: columns renamed by position, blanks null, code without leading zeros."""
-    raw = _csv(spark, path, ISO)
+    raw = scan_list(spark, path, ISO)
     blank_to_null = {c: F.when(F.col(c) != "", F.col(c)) for c in raw.columns}
     return raw.withColumns(blank_to_null).withColumn(
         "country_code", as_integer(F.col("country_code")).cast("string")

@@ -52,6 +52,12 @@ def timed(action) -> float:
     return time.perf_counter() - started
 
 
+def shuffled_bytes(spark) -> int:
+    """Shuffle bytes written so far, from the status the session keeps of its executors."""
+    executors = spark.sparkContext._jsc.sc().statusStore().executorList(False)
+    return sum(executors.apply(i).totalShuffleWrite() for i in range(executors.size()))
+
+
 def drain(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
@@ -93,15 +99,20 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     drain(QUERIES["nationalities_from_extract"](spark, sf_dir))
 
-    def best(action) -> float:
-        return round(min(timed(action) for _ in range(RUNS)), 3)
+    shuffled = {}
+
+    def best(name, action) -> float:
+        before = shuffled_bytes(spark)
+        seconds = round(min(timed(action) for _ in range(RUNS)), 3)
+        shuffled[name] = (shuffled_bytes(spark) - before) // RUNS
+        return seconds
 
-    queries = {name: best(lambda query=QUERIES[name]: drain(query(spark, sf_dir))) for name in HEADLINE}
+    queries = {name: best(name, lambda query=QUERIES[name]: drain(query(spark, sf_dir))) for name in HEADLINE}
     months_in = staged(spark, sf_dir)
     queries["run_all_months"] = best(
-        lambda: run_all_months(spark, months_in, workspace(spark), "bench").collect()
+        "run_all_months", lambda: run_all_months(spark, months_in, workspace(spark), "bench").collect()
     )
-    compared = {name: best(action) for name, action in twins(spark, sf_dir).items()}
+    compared = {name: best(name, action) for name, action in twins(spark, sf_dir).items()}
     scale = re.search(r"sf([\d.]+)", sf_dir)
     print(json.dumps({
         "metric": "headline_queries_total",
@@ -109,6 +120,7 @@ def main() -> None:
         "unit": "sec",
         "queries": queries,
         "twins": compared,
+        "shuffled_bytes": shuffled,
         "sf": float(scale.group(1)) if scale else sf_dir,
     }))
     spark.stop()

@@ -29,12 +29,20 @@ def build_star(staged: Staged, null_departure: bool = False) -> dict[str, DataFr
 
 
 def write_star(star: Mapping[str, DataFrame], base: str) -> None:
-    """Dimensions replaced whole, time and fact in folders of year and month."""
+    """Dimensions replaced whole, time and fact in folders of year and month.
+
+    The fact is written by the tasks that read the extracts, without a shuffle: a
+    piece of a monthly extract goes to one folder, or to two at the turn of a month.
+    """
     for name in ("admissions", "countries", "airports"):
         write_overwrite(star[name], f"{base}/{name}")
     write_partitioned(star["time"], f"{base}/time", ["year", "month"], ["arrival_ts"])
     write_partitioned(
-        star["immigrations"], f"{base}/immigrations", ["arrival_year", "arrival_month"], ["arrival_time"]
+        star["immigrations"],
+        f"{base}/immigrations",
+        ["arrival_year", "arrival_month"],
+        ["arrival_time"],
+        rebalance=False,
     )
 
 

@@ -35,10 +35,12 @@ def stage(
     countries: str,
     iso: str,
     schema: StructType = EXTRACT,
+    pattern: str = "*.parquet",
+    file_format: str = "parquet",
 ) -> Staged:
     """The four sources, code lists cleaned, nothing written."""
     return Staged(
-        extract=scan_latest(spark, extracts, schema=schema),
+        extract=scan_latest(spark, extracts, pattern, schema, file_format),
         ports=clean_ports(scan_ports(spark, ports)),
         countries=clean_countries(scan_countries(spark, countries)),
         iso=scan_iso(spark, iso),

@@ -11,7 +11,11 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Rows of one key compress well, so a partition of them is split from a modest size on.
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64m",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Larger pieces of a scan make fewer, larger output files where no shuffle lies between.
+    "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
 }

@@ -31,16 +31,19 @@ def write_partitioned(
     by: Sequence[str],
     order: Sequence[str] = (),
     append: bool = False,
+    rebalance: bool = True,
 ) -> None:
     """Parquet by folder, sorted in each file.
 
     Rows are rebalanced on the folder columns: small folders share a task and one
     that holds much of the data is split over several, each writing its own file.
+    Where each task has rows of few folders already, as when monthly files are read,
+    that shuffle can be left out.
     By default folders present in ``df`` are replaced and others kept, so a run
     can be repeated; ``append`` adds files instead.
     """
-    laid_out = df.hint("rebalance", *[F.col(c) for c in by]).sortWithinPartitions(*by, *order)
-    writer = laid_out.write.partitionBy(*by)
+    spread = df.hint("rebalance", *[F.col(c) for c in by]) if rebalance else df
+    writer = spread.sortWithinPartitions(*by, *order).write.partitionBy(*by)
     if append:
         writer.mode("append").parquet(path)
     else:

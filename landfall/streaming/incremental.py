@@ -42,7 +42,7 @@ def rebuild_months(
     path = F.col("_metadata.file_path")
     dated = fill_nulls(extract.withColumns({"extract_year": year_number(path), "extract_month": month_number(path)}))
     fact = fact_immigrations(dated, countries, ports, carry=MONTH)
-    write_partitioned(fact, base, MONTH, ["arrival_time"])
+    write_partitioned(fact, base, MONTH, ["arrival_time"], rebalance=False)
     # Folders are replaced only where rows were written, so a month left without any is emptied here.
     for gone in months.join(fact.select(MONTH).distinct(), MONTH, "left_anti").collect():
         folder = f"{base}/extract_year={gone['extract_year']}/extract_month={gone['extract_month']}"

@@ -1,5 +1,6 @@
 """Row-for-row comparison of a Spark result with an SQL result, whatever the order."""
 
+import os
 from collections import Counter
 
 import duckdb
@@ -22,7 +23,9 @@ def content(table):
 def from_duckdb(sql: str, sf_dir: str = SF_DIR):
     con = duckdb.connect()
     for name in TABLES:
-        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
+        path = f"{sf_dir}/{name}.parquet"
+        files = f"{path}/*.parquet" if os.path.isdir(path) else path
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{files}'")
     return con.sql(sql).to_arrow_table()
 
 

@@ -9,7 +9,14 @@ import __spark_entry__ as contract
 from landfall.catalog import bindings as b
 from landfall.catalog.queries import QUERIES
 from landfall.plans import fact as facts
+from landfall.operators.quality import check_table
 from landfall.plans import losses
+from landfall.plans.months import build_star
+from landfall.plans.staging import Staged
+from landfall.schemas import KEYS
+from landfall.session import workspace
+from landfall.sinks.writers import write_overwrite
+from landfall.sources.tables import scan_parquet
 from tests.comparing import SF_DIR, content
 
 
@@ -72,6 +79,35 @@ def test_rows_without_day_port_or_country_drop(spark):
         assert facts.fact_immigrations(emptied, countries, ports).count() == 0
 
 
+STAR_TYPES = {
+    "admissions": "admission_nbr double, country_code double, age double, visa_code double, visa_type string, "
+    "person_gender string",
+    "countries": "country_code string, country_name string, iso_ccode string, iso_alpha_2 string, iso_alpha_3 string, "
+    "iso_3166_2_code string, iso_country_name string, iso_region string, iso_sub_region string, "
+    "iso_region_code string, iso_sub_region_code string",
+    "airports": "airport_id string, airport_name string, airport_state string",
+    "time": "arrival_ts timestamp_ntz, hour int, day int, week int, month int, year int, weekday int",
+    "immigrations": "immigration_id string, arrival_time timestamp_ntz, arrival_year int, arrival_month int, "
+    "airport_id string, country_code string, admission_nbr double, arrival_mode double, "
+    "departure_date timestamp_ntz, airline string, flight_nbr string",
+}
+
+
+def test_star_columns_and_types(spark):
+    star = build_star(Staged(b.crossings(spark, SF_DIR), b.ports(spark, SF_DIR), b.countries(spark, SF_DIR), b.iso(spark, SF_DIR)))
+    types = {name: ", ".join(f"{column} {kind}" for column, kind in df.dtypes) for name, df in star.items()}
+    assert types == STAR_TYPES
+    assert set(KEYS) == set(star)
+
+
+def test_checks_read_key_columns_only(spark):
+    path = workspace(spark)
+    write_overwrite(QUERIES["fact_immigrations"](spark, SF_DIR), path)
+    plan = physical(check_table(scan_parquet(spark, path), "immigrations"))
+    read = re.search(r"ReadSchema: struct<(.*)", plan).group(1)
+    assert "airline" not in read and "departure_date" not in read
+
+
 def test_contract(spark):
     assert set(contract.queries()) == set(contract.oracle_sql())
     first = contract.entry(spark)

@@ -34,8 +34,9 @@ def write_star(star: Mapping[str, DataFrame], base: str) -> None:
     The fact is written by the tasks that read the extracts, without a shuffle: a
     piece of a monthly extract goes to one folder, or to two at the turn of a month.
     """
-    for name in ("admissions", "countries", "airports"):
-        write_overwrite(star[name], f"{base}/{name}")
+    write_overwrite(star["admissions"].sortWithinPartitions("country_code"), f"{base}/admissions")
+    write_overwrite(star["countries"], f"{base}/countries")
+    write_overwrite(star["airports"], f"{base}/airports")
     write_partitioned(star["time"], f"{base}/time", ["year", "month"], ["arrival_ts"])
     write_partitioned(
         star["immigrations"],

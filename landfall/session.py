@@ -21,9 +21,26 @@ SETTINGS = {
 }
 
 
-def build_session(app: str = "landfall", master: str | None = None, **extra: str) -> SparkSession:
-    """A session with the settings the library is tested under."""
+# What one shuffle partition should hold, so that it fits a task's share of executor memory.
+SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def shuffle_partitions(shuffled_bytes: int) -> int:
+    """Enough partitions for a shuffle of that size; adaptive execution joins those that turn out small."""
+    return max(200, -(-shuffled_bytes // SHUFFLE_PARTITION_BYTES))
+
+
+def build_session(
+    app: str = "landfall", master: str | None = None, shuffled_bytes: int | None = None, **extra: str
+) -> SparkSession:
+    """A session with the settings the library is tested under.
+
+    ``shuffled_bytes`` is the largest shuffle to expect, for instance the size of the
+    admission columns of all extracts.
+    """
     builder = SparkSession.builder.appName(app)
+    if shuffled_bytes:
+        extra.setdefault("spark.sql.shuffle.partitions", str(shuffle_partitions(shuffled_bytes)))
     if master:
         builder = builder.master(master)
     for key, value in {**SETTINGS, **extra}.items():

@@ -216,14 +216,11 @@ def write_extracts(crossed: DataFrame, root: str) -> None:
     named.hint("rebalance", F.col("extract")).write.mode("append").partitionBy("extract").parquet(root)
 
 
-def write_lists(spark: SparkSession, sf_dir: str, base: str) -> dict[str, str]:
-    """The four raw lists as CSV below ``base``; returns their paths."""
-    lists = {
-        "ports": raw_ports(spark, sf_dir),
-        "countries": raw_countries(spark, sf_dir),
-        "iso": raw_iso(spark, sf_dir),
-        "iata": raw_iata(spark, sf_dir),
-    }
-    for name, df in lists.items():
-        write_clean_csv(df, f"{base}/{name}")
-    return {name: f"{base}/{name}" for name in lists}
+RAW_LISTS = {"ports": raw_ports, "countries": raw_countries, "iso": raw_iso, "iata": raw_iata}
+
+
+def write_list(spark: SparkSession, sf_dir: str, name: str, base: str) -> str:
+    """One raw list as CSV below ``base``; returns its path."""
+    path = f"{base}/{name}"
+    write_clean_csv(RAW_LISTS[name](spark, sf_dir), path)
+    return path

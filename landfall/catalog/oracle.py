@@ -356,6 +356,12 @@ SQL: dict[str, str] = {
                      count(*) FILTER (WHERE bad_key AND o_orderpriority <> '5-LOW') AS bad_key_count
               FROM seeded GROUP BY o_orderpriority)"""),
     "dq_report": _of_all(f"SELECT '{_RUN}' AS round_ts, *, {_STATUS} FROM checks"),
+    "dq_record": _of_all(f"""
+        SELECT '{_RUN}' AS round_ts, {", ".join(
+            f"max(CASE WHEN table_name = '{name}' THEN row_count END) AS {name}_count, "
+            f"max(CASE WHEN table_name = '{name}' THEN status END) AS {name}"
+            for name in ("admissions", "countries", "airports", "time", "immigrations")
+        )} FROM (SELECT *, {_STATUS} FROM checks)"""),
     "run_all_months": _of_all(f"SELECT '{_RUN}' AS round_ts, *, {_STATUS} FROM checks"),
     "dropped_rows": _of_all("""
         SELECT count(*) AS source_rows,

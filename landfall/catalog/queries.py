@@ -88,10 +88,8 @@ def written_extracts(spark, sf):
 def staged(spark, sf):
     base = workspace(spark)
     b.write_extracts(b.crossings(spark, sf), f"{base}/extracts")
-    lists = b.write_lists(spark, sf, f"{base}/lists")
-    return staging.stage(
-        spark, f"{base}/extracts", lists["ports"], lists["countries"], lists["iso"], schema=b.BOUND_EXTRACT
-    )
+    lists = {name: b.write_list(spark, sf, name, f"{base}/lists") for name in ("ports", "countries", "iso")}
+    return staging.stage(spark, f"{base}/extracts", **lists, schema=b.BOUND_EXTRACT)
 
 
 # The five tables, each from only the columns it needs.
@@ -158,22 +156,22 @@ def _(spark, sf):
 
 @register("scan_ports")
 def _(spark, sf):
-    return lookups.scan_ports(spark, b.write_lists(spark, sf, workspace(spark))["ports"])
+    return lookups.scan_ports(spark, b.write_list(spark, sf, "ports", workspace(spark)))
 
 
 @register("scan_countries")
 def _(spark, sf):
-    return lookups.scan_countries(spark, b.write_lists(spark, sf, workspace(spark))["countries"])
+    return lookups.scan_countries(spark, b.write_list(spark, sf, "countries", workspace(spark)))
 
 
 @register("scan_iso")
 def _(spark, sf):
-    return lookups.scan_iso(spark, b.write_lists(spark, sf, workspace(spark))["iso"])
+    return lookups.scan_iso(spark, b.write_list(spark, sf, "iso", workspace(spark)))
 
 
 @register("scan_iata")
 def _(spark, sf):
-    return lookups.scan_iata(spark, b.write_lists(spark, sf, workspace(spark))["iata"])
+    return lookups.scan_iata(spark, b.write_list(spark, sf, "iata", workspace(spark)))
 
 
 @register("typed_from_local")
@@ -609,6 +607,11 @@ def _(spark, sf):
     return q.dq_report(lean_star(spark, sf), writers.run_stamp(RUN_START))
 
 
+@register("dq_record")
+def _(spark, sf):
+    return q.dq_record(q.dq_report(lean_star(spark, sf), writers.run_stamp(RUN_START)))
+
+
 @register("run_all_months")
 def _(spark, sf):
     return months.run_all_months(spark, staged(spark, sf), workspace(spark), writers.run_stamp(RUN_START))

@@ -60,3 +60,17 @@ def dq_report(tables: Mapping[str, DataFrame], round_ts: str, compat: bool = Fal
     """One row a table for this round."""
     rows = [check_table(df, name, round_ts=round_ts, compat=compat) for name, df in tables.items()]
     return reduce(DataFrame.unionByName, rows)
+
+
+def dq_record(report: DataFrame, tables: Sequence[str] = tuple(KEYS)) -> DataFrame:
+    """The report as one row a round: ``<table>_count`` and, under the table's name, its verdict."""
+
+    def of_table(name: str, column: str) -> Column:
+        return F.max(F.when(F.col("table_name") == name, F.col(column)))
+
+    columns = [
+        value
+        for name in tables
+        for value in (of_table(name, "row_count").alias(f"{name}_count"), of_table(name, "status").alias(name))
+    ]
+    return report.groupBy("round_ts").agg(*columns)

@@ -37,4 +37,6 @@ def scan_latest(
     The list brought to the driver has one entry a month, not one a file or row.
     """
     months = order_months(discover_inputs(spark, root, pattern)).collect()
+    if not months:
+        raise FileNotFoundError(f"no extract named like {pattern} below {root}")
     return scan_admissions(spark, [m["extract"] for m in months], schema, file_format)

@@ -74,6 +74,13 @@ def test_only_matching_names_are_found(spark):
     assert files.discover_inputs(spark, root).count() == 1
 
 
+def test_missing_extracts_are_an_error(spark):
+    root = workspace(spark)
+    write_extract(spark, root, "i94_jan16_sub.other", [extract_row(1, 2016, 1, 20454.0)])
+    with pytest.raises(FileNotFoundError):
+        extracts.scan_latest(spark, root)
+
+
 def test_csv_extract(spark):
     path = workspace(spark)
     data = [extract_row(1, 2016, 1, 20454.0, left=20460.0)]

@@ -37,10 +37,18 @@ def join_lookup(
     as_key: Callable[[Column], Column] = lambda value: value,
     limit: int = BROADCAST_LIMIT,
     rows_per_task: int = ROWS_PER_TASK,
+    counted: bool = False,
 ) -> DataFrame:
-    """``rows`` with the matching ``lookup`` columns; keys are compared through ``as_key``."""
+    """``rows`` with the matching ``lookup`` columns; keys are compared through ``as_key``.
+
+    ``counted`` rows are grouped already, so no key is on many of them: how they meet
+    the list is left to Spark, and nothing is measured.
+    """
+    met = as_key(rows[row_key]) == as_key(lookup[lookup_key])
+    if counted:
+        return rows.join(lookup, met)
     if lookup_bytes(lookup) <= limit:
-        return rows.join(F.broadcast(lookup), as_key(rows[row_key]) == as_key(lookup[lookup_key]))
+        return rows.join(F.broadcast(lookup), met)
     return spread_join(rows, lookup, row_key, lookup_key, as_key, rows_per_task)
 
 

@@ -20,7 +20,7 @@ def arrivals_by_port_and_country(clean: DataFrame, countries: DataFrame, ports:
         .groupBy("i94port", "i94cit")
         .agg(F.count(F.lit(1)).alias("entries"))
     )
-    known = join_fact_port(join_fact_country(counted, countries), ports)
+    known = join_fact_port(join_fact_country(counted, countries, counted=True), ports, counted=True)
     return known.select(
         F.col("i94_port").alias("airport_id"),
         F.col("i94_airport_name").alias("airport_name"),
@@ -50,7 +50,7 @@ def nationalities_by_airport(fact: DataFrame, airports: DataFrame) -> DataFrame:
         .groupBy(F.col("airport_id").alias("fact_airport"))
         .agg(F.sum("entries").alias("entries"), F.count("country_code").alias("nationalities"))
     )
-    return join_lookup(by_airport, airports, "fact_airport", "airport_id").select(
+    return join_lookup(by_airport, airports, "fact_airport", "airport_id", counted=True).select(
         "airport_id", "airport_name", "airport_state", "entries", "nationalities"
     )
 
@@ -58,7 +58,7 @@ def nationalities_by_airport(fact: DataFrame, airports: DataFrame) -> DataFrame:
 def top_airports(fact: DataFrame, airports: DataFrame, k: int) -> DataFrame:
     """The ``k`` most used airports, equal counts by id."""
     used = fact.groupBy(F.col("airport_id").alias("fact_airport")).agg(F.count(F.lit(1)).alias("entries"))
-    named = join_lookup(used, airports, "fact_airport", "airport_id")
+    named = join_lookup(used, airports, "fact_airport", "airport_id", counted=True)
     return (
         named.select("airport_id", "airport_name", "airport_state", "entries")
         .orderBy(F.desc("entries"), "airport_id")

@@ -40,7 +40,7 @@ def flat(column, ending: str = "") -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts in a row and where each text starts, each followed by ``ending``; null is empty."""
     texts = pc.fill_null(as_array(column), "").cast(pa.large_string())
     if ending:
-        texts = pc.binary_join_element_wise(texts, "", ending)
+        texts = pc.binary_join_element_wise(texts, *(pa.scalar(t, pa.large_string()) for t in ("", ending)))
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
     held = texts.buffers()[2]
     data = np.frombuffer(held, np.uint8)[offsets[0] : offsets[-1]] if held else np.zeros(0, np.uint8)
@@ -106,3 +106,33 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     total = int(lengths.sum())
     before = np.cumsum(lengths) - lengths
     return np.arange(total) + np.repeat(starts - before, lengths)
+
+
+# 0: white space, 1: letters, digits and all bytes beyond ASCII, 2: the rest.
+CLASS = np.full(256, 2, np.uint8)
+CLASS[SPACE] = 0
+CLASS[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = 1
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[0x41:0x5B] += 32
+
+
+def token_hashes(column) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the tokens of all texts in a row, and where the tokens of each text start, with the end.
+
+    A token is a run of word bytes or of marks; A-Z are read as a-z.
+    """
+    data, offsets = flat(column, "\n")
+    if not len(data):
+        return np.zeros(0, U64), np.zeros(len(offsets), np.int64)
+    kinds = CLASS[data]
+    edges = np.concatenate([[0], np.flatnonzero(kinds[1:] != kinds[:-1]) + 1, [len(data)]])
+    starts, ends = edges[:-1], edges[1:]
+    full = kinds[starts] != 0
+    starts, ends = starts[full], ends[full]
+    return word_hashes(LOWER[data], starts, ends), np.searchsorted(starts, offsets)
+
+
+def sums_by(values: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+    """Sums of the stretches that start at ``firsts``, the last of which is the end."""
+    running = np.concatenate([[0.0], np.cumsum(values, dtype=np.float64)])
+    return running[firsts[1:]] - running[firsts[:-1]]

@@ -6,18 +6,33 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from landfall.llm.language_id import languages_of
+from landfall.llm.quality import quality_scores
 from landfall.llm.simhash import simhash_classes
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+from landfall.llm.tables import read_table as table
+from landfall.llm.toxicity import toxic_scores
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_classes(table(spark, sf_dir, "documents"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxic_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages_of(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_language_id": op2_language_id,
+    "op7_toxicity": op7_toxicity,
+    "op3_quality": op3_quality,
     "op4_simhash": op4_simhash,
 }
 

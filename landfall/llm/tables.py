@@ -2,11 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import os
+import tempfile
+import zipfile
+from pathlib import Path
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landfall.session import workspace
 
+PACKAGE = Path(__file__).resolve().parent.parent
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Hands the package to the executors, once for each application, so that their Python finds it."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    archive = os.path.join(tempfile.mkdtemp(prefix="landfall-"), f"{PACKAGE.name}.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in sorted(PACKAGE.rglob("*.py")):
+            out.write(path, path.relative_to(PACKAGE.parent))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
 
 def stored(rows: DataFrame) -> DataFrame:
     """``rows`` written to the shared folder and read again: computed once, and safe if an executor is lost."""

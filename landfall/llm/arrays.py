@@ -116,20 +116,27 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
 
 
-def token_hashes(column) -> tuple[np.ndarray, np.ndarray]:
+def token_hashes(column, stem_bytes: int = 0) -> tuple[np.ndarray, ...]:
     """Hashes of the tokens of all texts in a row, and where the tokens of each text start, with the end.
 
-    A token is a run of word bytes or of marks; A-Z are read as a-z.
+    A token is a run of word bytes or of marks; A-Z are read as a-z.  With ``stem_bytes``
+    also the hashes of the first bytes of longer tokens (0 for others), in the middle.
     """
     data, offsets = flat(column, "\n")
     if not len(data):
-        return np.zeros(0, U64), np.zeros(len(offsets), np.int64)
+        empty = np.zeros(0, U64)
+        return (empty, empty, np.zeros_like(offsets)) if stem_bytes else (empty, np.zeros_like(offsets))
     kinds = CLASS[data]
     edges = np.concatenate([[0], np.flatnonzero(kinds[1:] != kinds[:-1]) + 1, [len(data)]])
     starts, ends = edges[:-1], edges[1:]
     full = kinds[starts] != 0
     starts, ends = starts[full], ends[full]
-    return word_hashes(LOWER[data], starts, ends), np.searchsorted(starts, offsets)
+    firsts, rolling = np.searchsorted(starts, offsets), Rolling(BYTE_VALUES[LOWER[data]])
+    hashes = rolling.of(starts, ends)
+    if not stem_bytes:
+        return hashes, firsts
+    stems = np.where(ends - starts > stem_bytes, rolling.of(starts, np.minimum(ends, starts + stem_bytes)), U64(0))
+    return hashes, stems, firsts
 
 
 def sums_by(values: np.ndarray, firsts: np.ndarray) -> np.ndarray:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landfall.llm.arrays import slices, token_hashes
+from landfall.llm.arrays import U64, mixed, slices, token_hashes
 from landfall.llm.samples import labelled_sample
 from landfall.llm.tables import held_out
 
@@ -20,6 +20,9 @@ LEXICON = 50_000
 # Weight of the Dirichlet prior in tokens, and how sure a token has to be toxic.
 PRIOR = 4.0
 LEAST_Z = 4.0
+LEAST_ODDS = 1.5
+# A longer token that is not told apart itself is read by its first bytes.
+STEM_BYTES = 8
 # A passage ends when so many tokens say nothing after one that counts as toxic.
 PASSAGE_TOKENS = 64
 THRESHOLD = 0.5
@@ -66,12 +69,21 @@ def segments(at: list[int], score: list[float], rest: float, length: int) -> lis
 
 def _positive(column, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Positions and scores of the tokens that count, and where the tokens of each text start."""
-    hashes, firsts = token_hashes(column)
+    hashes, stems, firsts = token_hashes(column, STEM_BYTES)
     if not len(model.hashes):
         return np.zeros(0, np.int64), np.zeros(0), firsts
-    place = np.minimum(np.searchsorted(model.hashes, hashes), len(model.hashes) - 1)
-    at = np.flatnonzero(model.hashes[place] == hashes)
-    return at, model.scores[place[at]], firsts
+    value = np.zeros(len(hashes))
+    for keys in (stem_keys(stems), hashes):
+        place = np.minimum(np.searchsorted(model.hashes, keys), len(model.hashes) - 1)
+        known = model.hashes[place] == keys
+        value[known] = model.scores[place[known]]
+    at = np.flatnonzero(value)
+    return at, value[at], firsts
+
+
+def stem_keys(stems: np.ndarray) -> np.ndarray:
+    """Keys for the stems of longer tokens, apart from those of whole tokens; zero for none."""
+    return np.where(stems == 0, U64(0), mixed(stems + U64(1)))
 
 
 def passages(column, model: Model) -> Iterator[tuple[int, list[tuple[int, int, float]]]]:
@@ -85,15 +97,22 @@ def passages(column, model: Model) -> Iterator[tuple[int, list[tuple[int, int, f
 
 
 def surprise(length: int, found: list[tuple[int, int, float]], model: Model) -> float:
-    """Sum over the significant segments of the logarithm of how seldom chance brings one as good."""
-    chance = np.log(max(model.scale * max(length, 1), 1e-12))
-    return float(sum(max(0.0, model.rate * s - chance) for _, _, s in found))
+    """How far the significant segments together exceed what chance brings, on a logarithmic scale."""
+    above = sum(max(0.0, model.rate * s - by_chance(length, model)) for _, _, s in found)
+    return float(np.log1p(above))
+
+
+def by_chance(length: int, model: Model) -> float:
+    """What a segment, times the rate of the law, has to exceed in a text of that length to count as significant."""
+    return float(np.log(max(model.scale * length, 1.0)))
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, "text"):
-        hashes, firsts = token_hashes(batch.column("text"))
+        hashes, stems, firsts = token_hashes(batch.column("text"), STEM_BYTES)
         toxic = np.repeat(batch.column("y").to_numpy(zero_copy_only=False) == 1, np.diff(firsts))
+        longer = stems != 0
+        hashes, toxic = np.append(hashes, stem_keys(stems[longer])), np.append(toxic, toxic[longer])
         values, which = np.unique(hashes, return_inverse=True)
         columns = [np.bincount(which[toxic == t], minlength=len(values)) for t in (True, False)]
         yield pa.RecordBatch.from_arrays(
@@ -141,7 +160,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int
     odds = F.log(t / c) - float(np.log(share / (1 - share)))
     known = (
         counts.select("token", "c", odds.alias("score"), (odds / F.sqrt(1 / t + 1 / c)).alias("z"))
-        .where(F.col("z") >= LEAST_Z)
+        .where((F.col("z") >= LEAST_Z) & (F.col("score") >= LEAST_ODDS))
         .orderBy(F.desc("z"), "token")
         .limit(LEXICON)
         .toPandas()
@@ -170,7 +189,7 @@ def _calibrated(sample: DataFrame, model: Model) -> Model:
 
     rows = sample.select("y", "text").mapInArrow(best, "y int, n bigint, best double, parts array<double>").toPandas()
     clean = rows[rows["y"] == 0]
-    cut = float(model.scores.mean()) if len(model.scores) else 1.0
+    cut = float(model.scores.min()) if len(model.scores) else 1.0
     expected = float(clean["n"].sum()) * np.exp(-model.rate * cut)
     model.scale = max(1e-6, float((clean["best"] >= cut).sum() + 0.5) / max(expected, 1e-9))
     x = np.array([surprise(n, [(0, 0, s) for s in parts], model) for n, parts in zip(rows["n"], rows["parts"])])
@@ -195,7 +214,7 @@ def toxic_scores(docs: DataFrame, labels: DataFrame, max_rows: int = SAMPLE_ROWS
             margins, lists = [], []
             for length, found in passages(batch.column("text"), model):
                 margins.append(model.bias + model.slope * surprise(length, found, model))
-                chance = np.log(max(model.scale * max(length, 1), 1e-12))
+                chance = by_chance(length, model)
                 lists.append([{"first": s, "end": e, "score": v} for s, e, v in found if model.rate * v > chance])
             values = 1 / (1 + np.exp(-np.clip(np.array(margins), -500, 500)))
             spans = pa.array(lists, pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64()), ("score", pa.float64())])))

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from landfall.llm.cap_filters import vector_classes
 from landfall.llm.language_id import languages_of
 from landfall.llm.quality import quality_scores
 from landfall.llm.simhash import simhash_classes
@@ -29,7 +30,12 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages_of(table(spark, sf_dir, "documents"))
 
 
+def op1_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_classes(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_cap_filters": op1_cap_filters,
     "op2_language_id": op2_language_id,
     "op7_toxicity": op7_toxicity,
     "op3_quality": op3_quality,

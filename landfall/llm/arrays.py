@@ -88,8 +88,11 @@ class Rolling:
         np.cumsum(values * _powers(_BASE, room)[: len(values)], out=self.sums[1:])
         self.back = _powers(_INVERSE, room)
 
+    def raw(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return (self.sums[ends] - self.sums[starts]) * self.back[starts]
+
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return mixed((self.sums[ends] - self.sums[starts]) * self.back[starts])
+        return mixed(self.raw(starts, ends))
 
     def every(self, length: int) -> np.ndarray:
         """The hash of each stretch of that length, by its start."""

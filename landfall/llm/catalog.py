@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from landfall.llm.cap_filters import vector_classes
 from landfall.llm.language_id import languages_of
 from landfall.llm.quality import quality_scores
+from landfall.llm.sentencepiece_codec import encoding_digest
 from landfall.llm.simhash import simhash_classes
 from landfall.llm.tables import read_table as table
 from landfall.llm.toxicity import toxic_scores
@@ -34,7 +35,12 @@ def op1_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_classes(table(spark, sf_dir, "embeddings"))
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoding_digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_sentencepiece": op5_sentencepiece,
     "op1_cap_filters": op1_cap_filters,
     "op2_language_id": op2_language_id,
     "op7_toxicity": op7_toxicity,

@@ -21,6 +21,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from landfall.llm.arrays import U64, Rolling, as_array, mixed, ranges, slices
 from landfall.llm.units import UnitCache, points_of
@@ -333,7 +334,7 @@ def encode(docs: DataFrame, model: str | None = None) -> DataFrame:
             ids, counts = encode_column(batch.column("text"), path)
             yield pa.RecordBatch.from_arrays([*batch.columns, list_array(ids, counts)], [*batch.schema.names, "ids"])
 
-    return rows.mapInArrow(run, rows.schema.add("ids", "array<int>"))
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))]))
 
 
 def decode(rows: DataFrame, model: str | None = None) -> DataFrame:
@@ -348,7 +349,7 @@ def decode(rows: DataFrame, model: str | None = None) -> DataFrame:
             texts = _coder(path)[0].decode(ids.flatten().to_numpy(zero_copy_only=False), counts)
             yield pa.RecordBatch.from_arrays([*batch.columns, texts], [*batch.schema.names, "text"])
 
-    return kept.mapInArrow(run, kept.schema.add("text", "string"))
+    return kept.mapInArrow(run, T.StructType([*kept.schema.fields, T.StructField("text", T.StringType())]))
 
 
 def encoding_digest(docs: DataFrame, model: str | None = None) -> DataFrame:

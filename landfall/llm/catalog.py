@@ -12,6 +12,7 @@ from landfall.llm.quality import quality_scores
 from landfall.llm.sentencepiece_codec import encoding_digest
 from landfall.llm.simhash import simhash_classes
 from landfall.llm.tables import read_table as table
+from landfall.llm.token_files import token_files
 from landfall.llm.toxicity import toxic_scores
 
 
@@ -39,7 +40,12 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding_digest(table(spark, sf_dir, "documents"))
 
 
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op9_token_files": op9_token_files,
     "op5_sentencepiece": op5_sentencepiece,
     "op1_cap_filters": op1_cap_filters,
     "op2_language_id": op2_language_id,

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from landfall.llm.cap_filters import vector_classes
+from landfall.llm.decontaminate import contaminated
 from landfall.llm.language_id import languages_of
 from landfall.llm.quality import quality_scores
 from landfall.llm.sentencepiece_codec import encoding_digest
@@ -44,7 +45,12 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(table(spark, sf_dir, "documents"))
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op8_decontaminate": op8_decontaminate,
     "op9_token_files": op9_token_files,
     "op5_sentencepiece": op5_sentencepiece,
     "op1_cap_filters": op1_cap_filters,

@@ -22,11 +22,13 @@ def as_array(column) -> pa.Array:
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The rows in slices whose texts have at most ``limit`` bytes together, or one row."""
+    """The rows in slices whose texts (or lists) have at most ``limit`` bytes (or items) together, or one row."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        values = batch.column(column)
+        sizes = pc.list_value_length(values) if pa.types.is_list(values.type) else pc.binary_length(values)
+        sizes = pc.fill_null(sizes, 0).to_numpy(zero_copy_only=False)
         total = np.cumsum(sizes, dtype=np.int64)
         first = 0
         while first < batch.num_rows:

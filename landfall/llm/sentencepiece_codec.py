@@ -32,7 +32,9 @@ SPACE = "▁"
 LONGEST = 48
 NEVER = np.iinfo(np.int64).max
 PAIRS_KEPT = 1 << 20
-UNIT_CACHE = 500_000
+UNIT_CACHE = 400_000
+# Ids decoded at once.
+DECODED_IDS = 1 << 18
 
 
 def default_model() -> str:
@@ -343,7 +345,7 @@ def decode(rows: DataFrame, model: str | None = None) -> DataFrame:
     kept = rows.drop("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "ids", DECODED_IDS):
             ids = batch.column("ids")
             counts = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
             texts = _coder(path)[0].decode(ids.flatten().to_numpy(zero_copy_only=False), counts)
@@ -363,7 +365,7 @@ def encoding_digest(docs: DataFrame, model: str | None = None) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "text"):
             ids, texts = batch.column("ids"), pc.fill_null(batch.column("text"), "")
             counts = pc.list_value_length(ids).to_numpy(zero_copy_only=False).astype(np.int64)
             values = ids.flatten().to_numpy(zero_copy_only=False).astype("<u4")

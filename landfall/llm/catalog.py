@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from landfall.llm.bwt_merge import repeat_digest
 from landfall.llm.cap_filters import vector_classes
 from landfall.llm.decontaminate import contaminated
 from landfall.llm.language_id import languages_of
 from landfall.llm.quality import quality_scores
 from landfall.llm.sentencepiece_codec import encoding_digest
 from landfall.llm.simhash import simhash_classes
+from landfall.llm.suffix_trees import shared_window_digest
 from landfall.llm.tables import read_table as table
 from landfall.llm.token_files import token_files
 from landfall.llm.toxicity import toxic_scores
@@ -49,7 +51,17 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_bwt_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_digest(table(spark, sf_dir, "documents"))
+
+
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shared_window_digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_substring_dedup": op6_substring_dedup,
+    "op10_bwt_dedup": op10_bwt_dedup,
     "op8_decontaminate": op8_decontaminate,
     "op9_token_files": op9_token_files,
     "op5_sentencepiece": op5_sentencepiece,

@@ -9,9 +9,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from landfall.llm.arrays import BYTE_VALUES, flat, slices
 from landfall.llm.repeats import covered_ranges, mask_of, unpacked, with_ranges
+from landfall.llm.tables import free_name
 
 WINDOW = 200
 GRAM = 100
@@ -154,3 +156,28 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
 def repeat_digest(docs: DataFrame) -> DataFrame:
     return without_repeats(docs).drop("kept")
+
+
+def cut_documents(docs: DataFrame) -> DataFrame:
+    """``docs`` with what repeats cut out of ``text``; letters cut in two go whole, ``n_chars``, if there, is counted anew.
+
+    A document may end up empty, and stays.  Rows are kept, as are all other columns.
+    """
+    rows = docs.withColumn("text", F.col("text").cast("string"))
+    name, key = free_name(docs, "ranges"), free_name(docs, "ranges_of")
+    of = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    found = _byte_ranges(of).select(F.col("doc_id").alias(key), F.col("ranges").alias(name))
+    joined = rows.join(found, F.col("doc_id") == F.col(key), "left").drop(key)
+    at = rows.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            texts = []
+            for text, ranges_ in zip(batch.column("text").to_pylist(), batch.column(name).to_pylist()):
+                texts.append(_cut(text.encode(), ranges_)[0].decode("utf-8", "ignore") if ranges_ else text)
+            columns = list(batch.columns[:-1])
+            columns[at] = pa.array(texts, columns[at].type)
+            yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:-1])
+
+    cut = joined.mapInArrow(run, T.StructType(rows.schema.fields))
+    return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else cut

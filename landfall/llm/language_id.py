@@ -10,9 +10,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from landfall.llm.arrays import flat, slices
-from landfall.llm.tables import held_out, learnable, share_of_hash
+from landfall.llm.tables import free_name, held_out, learnable, share_of_hash
 
 # Bounds of what is learned from: documents of a language, characters of one of them,
 # symbols of a language in all, languages, and letters told apart.
@@ -25,6 +26,8 @@ LETTERS = 62
 STRETCH = 1_024
 SLICE_BYTES = 4 << 20
 UNKNOWN = "und"
+# A text that costs more bits a symbol than naming each of the letters would is in none of the languages.
+MOST_BITS = float(np.log2(LETTERS + 2))
 
 
 def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
@@ -226,3 +229,25 @@ def languages_of(docs: DataFrame, learned_from: DataFrame | None = None) -> Data
     return rows.mapInArrow(predict, "doc_id bigint, lang_pred string, score double, bits double").select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "bits"
     )
+
+
+def in_a_language(docs: DataFrame) -> DataFrame:
+    """``docs`` without the rows in no language: those that are ``und``, or that no language explains better than chance.
+
+    Languages are learned from ``lang`` of ``docs`` itself; if none is known, all rows stay that have a letter.
+    """
+    held = docs.sparkSession.sparkContext.broadcast(learn(docs))
+    name = free_name(docs, "in_a_language")
+    rows = docs.withColumn("text", F.col("text").cast("string"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", SLICE_BYTES):
+            names, _, bits = _predict(batch.column("text"), held.value)
+            if held.value.names:
+                kept = pa.array([n != UNKNOWN for n in names], pa.bool_()).to_numpy(zero_copy_only=False) & (bits <= MOST_BITS)
+            else:
+                kept = np.array([any(map(str.isalpha, t or "")) for t in batch.column("text").to_pylist()], bool)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(kept)], [*batch.schema.names, name])
+
+    kinds = T.StructType([*rows.schema.fields, T.StructField(name, T.BooleanType())])
+    return rows.mapInArrow(run, kinds).where(F.col(name)).select(*docs.columns)

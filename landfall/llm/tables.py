@@ -59,3 +59,11 @@ def learnable(doc_id: Column) -> Column:
 def share_of_hash(column: Column, seed: int = 7) -> Column:
     """A number in [0, 1) that depends on the value alone, for samples that do not change between runs."""
     return F.pmod(F.xxhash64(F.lit(seed), column), F.lit(1 << 30)) / float(1 << 30)
+
+
+def free_name(rows: DataFrame, name: str) -> str:
+    """``name``, or one like it that no column of ``rows`` has."""
+    taken = {c.lower() for c in rows.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -72,4 +72,47 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash": op4_simhash,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op1_cap_filters": """
+        WITH RECURSIVE vectors AS MATERIALIZED (
+            SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+        ),
+        pairs AS MATERIALIZED (
+            SELECT a.vec_id AS one, b.vec_id AS other FROM vectors a JOIN vectors b
+            ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.9
+        ),
+        reached AS (
+            SELECT vec_id AS node, vec_id AS origin FROM vectors
+            UNION
+            SELECT p.other, r.origin FROM reached r JOIN pairs p ON p.one = r.node
+        ),
+        classes AS (SELECT node, min(origin) AS component_id FROM reached GROUP BY node),
+        counts AS (SELECT one, count(*) AS n FROM pairs GROUP BY one)
+        SELECT node AS vec_id, coalesce(n, 0) AS n_links, component_id, node = component_id AS kept
+        FROM classes LEFT JOIN counts ON one = node
+    """,
+    "op6_substring_dedup": r"""
+        WITH split AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+        ),
+        windows AS (
+            SELECT doc_id, i, array_to_string(words[i:i + 12], ' ') AS content
+            FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM split)
+        ),
+        first AS (SELECT content, min(doc_id) AS earliest FROM windows GROUP BY content),
+        covered AS (
+            SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS place
+            FROM windows JOIN first USING (content) WHERE doc_id > earliest
+        ),
+        placed AS (
+            SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM split
+        ),
+        kept AS (
+            SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY place) AS text
+            FROM placed ANTI JOIN covered USING (doc_id, place) GROUP BY doc_id
+        )
+        SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed,
+               sha256(coalesce(kept.text, '')) AS kept_sha256
+        FROM split LEFT JOIN kept USING (doc_id)
+    """,
+}

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landfall.llm.arrays import LOWER, Rolling, flat, ranges, slices, token_hashes, word_bounds, word_hashes
+from landfall.llm.tables import free_name
 
 K1, B = 1.2, 0.75
 # A passage is looked at more closely if its BM25 score for an item is at least this part of the item's own.
@@ -27,7 +28,6 @@ ANSWER_PART = 0.25
 INDEX_BYTES = 32 << 20
 SUMS = 1 << 22
 MARKS = 1 << 25
-HITS = "benchmark_hits"
 
 
 @dataclass
@@ -213,14 +213,14 @@ HIT_ARROW = pa.list_(
 )
 
 
-def with_hits(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """``docs`` with ``benchmark_hits``: the items found in the whole text, with BM25 score and overlaps.
+def with_hits(docs: DataFrame, items: DataFrame, name: str = "benchmark_hits") -> DataFrame:
+    """``docs`` with a last column ``name``: the items found in the whole text, with BM25 score and overlaps.
 
     ``items`` has ``item_id`` and ``text``; those with a null id or no word are never found.
     Passages of every text are queries to the index; of those with at least half the
     item's own score, 0.8 of the five-word shingles of question and answer must be in
-    the document.  Null and empty texts have no hits; repeated rows are kept; a
-    column ``benchmark_hits`` of ``docs`` is replaced, others are kept.
+    the document.  Null and empty texts have no hits; repeated rows are kept; other
+    columns are kept, but one called ``name`` is replaced.
     """
     spark = docs.sparkSession
     items = items.where("item_id is not null and text is not null").select(
@@ -228,7 +228,7 @@ def with_hits(docs: DataFrame, items: DataFrame) -> DataFrame:
     )
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     shards = max(1, -(-size // INDEX_BYTES))
-    rows = docs.drop(HITS).withColumn(HITS, F.array().cast(HIT_TYPE))
+    rows = docs.drop(name).withColumn("text", F.col("text").cast("string")).withColumn(name, F.array().cast(HIT_TYPE))
     for shard in range(shards):
         own = items.where(F.pmod(F.xxhash64("item_id"), F.lit(shards)) == shard).orderBy("item_id", "text").toPandas()
         own = own[own["text"].str.strip(" \t\n\v\f\r") != ""]
@@ -238,26 +238,23 @@ def with_hits(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def _one_index(rows: DataFrame, held) -> DataFrame:
-    text = next((k for k, f in enumerate(rows.schema.fields) if f.name == "text"), None)
-    if text is None:
-        raise ValueError("documents need a column text")
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             new = _hits(batch.column("text"), held.value)
-            old = batch.column(HITS).to_pylist()
+            old = batch.column(batch.num_columns - 1).to_pylist()
             joined = pa.array([a + b for a, b in zip(old, new)], HIT_ARROW)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], joined], batch.schema.names)
 
-    return rows.withColumn("text", F.col("text").cast("string")).mapInArrow(run, rows.schema)
+    return rows.mapInArrow(run, rows.schema)
 
 
 def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """One row for each document and item found in it: ``doc_id``, ``item_id``, ``score``, ``question``, ``answer``."""
-    rows = with_hits(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), items)
-    return rows.select("doc_id", F.explode(HITS).alias("hit")).select("doc_id", "hit.*")
+    rows = with_hits(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), items, "hits")
+    return rows.select("doc_id", F.explode("hits").alias("hit")).select("doc_id", "hit.*")
 
 
 def decontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``docs`` without the rows in which an item is found."""
-    return with_hits(docs, items).where(F.size(HITS) == 0).select(*docs.columns)
+    name = free_name(docs, "hits")
+    return with_hits(docs, items, name).where(F.size(name) == 0).select(*docs.columns)

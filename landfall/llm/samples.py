@@ -22,6 +22,5 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: in
     )
     share = min(1.0, max_rows / max(1, known.count()))
     chosen = known.where(share_of_hash(F.col("_labelled")) < share)
-    return docs.join(F.broadcast(chosen), docs["doc_id"] == F.col("_labelled")).select(
-        docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"].cast("string").alias("text"), "y"
-    )
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return rows.join(F.broadcast(chosen), F.col("doc_id") == F.col("_labelled")).select("doc_id", "text", "y")

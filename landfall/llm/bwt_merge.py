@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landfall.llm.arrays import BYTE_VALUES, flat, slices
-from landfall.llm.repeats import covered_ranges, mask_of, unpacked, with_ranges
+from landfall.llm.repeats import bounds_of, covered_ranges, mask_of, unpacked, with_ranges
 from landfall.llm.tables import free_name
 
 WINDOW = 200
@@ -41,7 +41,7 @@ class Collection:
     def __init__(self, data: np.ndarray, ends: np.ndarray):
         self.data = data
         words = np.zeros(len(data), np.uint64)
-        for k in range(START_DEPTH):
+        for k in range(min(START_DEPTH, len(data))):
             words[: len(data) - k] |= data[k:].astype(np.uint64) << np.uint64(8 * (START_DEPTH - 1 - k))
         self.words = words
         # Suffixes of at least START_DEPTH bytes; shorter ones equal nothing and have ranks of their own.
@@ -123,7 +123,7 @@ def _cut(text: bytes, ranges_: list[dict] | None) -> tuple[bytes, int]:
     """The bytes that remain, and how many runs were taken out."""
     if not ranges_:
         return text, 0
-    removed = mask_of(len(text), ranges_)
+    removed = mask_of(len(text), *bounds_of(ranges_))
     runs = int(removed[0]) + int((removed[1:] & ~removed[:-1]).sum())
     return np.frombuffer(text, np.uint8)[~removed].tobytes(), runs
 

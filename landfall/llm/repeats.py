@@ -27,6 +27,8 @@ from landfall.llm.tables import stored
 PIECE = 1 << 22
 # Grams with more spans than this are compared by window hashes, counted before they are shuffled.
 CLASS_SPANS = 20_000
+# Spans that a task compares among themselves before it hands them on.
+HELD_SPANS = 1 << 19
 
 
 def spans(values: np.ndarray, offsets: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, ...]:
@@ -69,36 +71,83 @@ def _spans(values, shift, offsets, window, gram):
 Symbols = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
 
 
-def span_rows(docs: DataFrame, symbols: Symbols, window: int, gram: int) -> DataFrame:
+def span_rows(docs: DataFrame, symbols: Symbols, window: int, gram: int, earlier_only: bool) -> DataFrame:
+    """Spans of all documents, those that are equal within a task's reach settled before anything is shuffled."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in slices(batches, "text"):
             values, offsets = symbols(batch.column("text"))
             a, c, text, first, n = spans(values, offsets, window, gram)
-            ids = batch.column("doc_id").to_numpy()[text]
-            arrays = [a.view(np.int64), c.view(np.int64), ids, first.astype(np.int32), n.astype(np.int32)]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], ["gram", "span", "doc_id", "first", "n"])
+            held.append((a, c, batch.column("doc_id").to_numpy()[text], first, n))
+            size += len(a)
+            if size >= HELD_SPANS:
+                yield _settled(held, earlier_only)
+                held, size = [], 0
+        if size:
+            yield _settled(held, earlier_only)
 
     rows = docs.where("doc_id is not null and text is not null").select("doc_id", "text")
-    return rows.mapInArrow(run, "gram bigint, span bigint, doc_id bigint, first int, n int")
+    return rows.mapInArrow(run, "gram bigint, span bigint, doc_id bigint, first int, n int, copies int, settled boolean")
+
+
+def _settled(held: list[tuple], earlier_only: bool) -> pa.RecordBatch:
+    """One row for each distinct span, with its number of copies, and rows of what is sure to be covered.
+
+    The row is the first copy.  With ``earlier_only`` the copies in later documents are covered; those in
+    the same document are left out, as whatever holds for the first holds for them.
+    Otherwise all are covered if there are several.  Covered spans that follow each other
+    become one row, under a gram that no other row has.
+    """
+    a, c, ids, first, n = (np.concatenate(x) for x in zip(*held))
+    order = np.lexsort((first, ids, c, a))
+    a, c, ids, first, n = a[order], c[order], ids[order], first[order], n[order]
+    lead = np.ones(len(a), bool)
+    lead[1:] = (a[1:] != a[:-1]) | (c[1:] != c[:-1])
+    number = np.cumsum(lead) - 1
+    copies = np.bincount(number)
+    at = np.flatnonzero(lead)
+    sure = ids > ids[at][number] if earlier_only else copies[number] > 1
+    d, f, w = ids[sure], first[sure], n[sure]
+    order = np.lexsort((f, d))
+    d, f, w = d[order], f[order], w[order]
+    new = np.ones(len(d), bool)
+    # Spans share no window, so the last of one and the first of the next are neighbours or apart.
+    new[1:] = (d[1:] != d[:-1]) | (f[1:] > f[:-1] + w[:-1])
+    begin = np.flatnonzero(new)
+    end = np.append(begin[1:], len(d)) - 1
+    run_first, run_n = f[begin], f[end] + w[end] - f[begin]
+    own = mixed(d[begin].astype(U64) * U64(0x9E3779B97F4A7C15) + run_first.astype(U64))
+    columns = [
+        np.append(a[at], own).view(np.int64),
+        np.append(c[at], own).view(np.int64),
+        np.append(ids[at], d[begin]),
+        np.append(first[at], run_first).astype(np.int32),
+        np.append(n[at], run_n).astype(np.int32),
+        np.append(copies, np.ones(len(begin), np.int64)).astype(np.int32),
+        np.append(np.zeros(len(at), bool), np.ones(len(begin), bool)),
+    ]
+    names = ["gram", "span", "doc_id", "first", "n", "copies", "settled"]
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names)
 
 
 def classified(rows: DataFrame) -> DataFrame:
     """Spans whose gram occurs again, with what is known of the spans equal to them and of their class.
 
-    One shuffle by gram serves all: ``equal`` spans and their smallest document, whether
-    the class has spans that ``differ``, and whether it is ``large``.
+    One shuffle by gram serves all: how many are ``equal`` and their smallest document, whether
+    the class has spans that ``differ``, and whether it is ``large``.  Rows ``settled`` before stay.
     """
     same = Window.partitionBy("gram", "span")
     by_gram = Window.partitionBy("gram")
     return (
-        rows.withColumn("equal", F.count(F.lit(1)).over(same))
+        rows.withColumn("equal", F.sum("copies").over(same))
         .withColumn("smallest", F.min("doc_id").over(same))
         .withColumn("nth", F.row_number().over(same.orderBy("doc_id", "first")))
         .withColumn("spans", F.count(F.lit(1)).over(by_gram))
         .withColumn("differ", F.min("span").over(by_gram) != F.max("span").over(by_gram))
-        .where("spans > 1")
+        .where("spans > 1 or copies > 1 or settled")
         .withColumn("large", F.col("spans") > CLASS_SPANS)
-        .drop("spans")
+        .drop("spans", "copies")
     )
 
 
@@ -205,17 +254,18 @@ def covered_ranges(
 ) -> DataFrame:
     """``doc_id`` and ``ranges`` (start, stop) of symbols covered by windows that occur elsewhere.
 
-    With ``earlier_only`` just those that also start in a document of smaller doc_id.  Ranges may
-    overlap.  Documents with a null id or text take no part.
+    With ``earlier_only`` just those that also start in a document of smaller doc_id; every window within
+    a range is one, but where a document has a window several times, maybe only one
+    of them is in a range.  Ranges may overlap.  Documents with a null id or text take no part.
     """
-    rows = stored(classified(span_rows(docs, symbols, window, gram)))
+    rows = stored(classified(span_rows(docs, symbols, window, gram, earlier_only)))
     if earlier_only:
         equal, wanted = F.col("doc_id") > F.col("smallest"), F.col("doc_id") == F.col("smallest")
     else:
         equal, wanted = F.col("equal") > 1, F.col("nth") == 1
     stop = F.col("first") + F.col("n") - 1 + window
-    whole = rows.where(equal).select("doc_id", F.col("first").alias("start"), stop.alias("stop"))
-    fetched = stored(_fetched(rows.where(wanted & F.col("differ")), docs, take, window))
+    whole = rows.where(F.col("settled") | equal).select("doc_id", F.col("first").alias("start"), stop.alias("stop"))
+    fetched = stored(_fetched(rows.where(~F.col("settled") & wanted & F.col("differ")), docs, take, window))
     ranges_ = whole.unionByName(_resolved(fetched, resolve, window)).unionByName(_counted(fetched, earlier_only, window))
     return ranges_.groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop")).alias("ranges"))
 
@@ -227,11 +277,13 @@ def with_ranges(docs: DataFrame, ranges_: DataFrame) -> DataFrame:
     return small.join(found, small["doc_id"] == found["_of"], "left").drop("_of")
 
 
-def mask_of(size: int, ranges_: list[dict] | None) -> np.ndarray:
+def bounds_of(ranges_: list[dict] | None) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and stops of ranges."""
+    pairs = np.array([(r["start"], r["stop"]) for r in ranges_ or []], np.int64).reshape(-1, 2)
+    return pairs[:, 0], pairs[:, 1]
+
+
+def mask_of(size: int, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
     """Which of the symbols are in a range."""
-    change = np.zeros(size + 1, np.int64)
-    if ranges_:
-        bounds = np.array([(r["start"], r["stop"]) for r in ranges_]).clip(0, size)
-        np.add.at(change, bounds[:, 0], 1)
-        np.add.at(change, bounds[:, 1], -1)
+    change = np.bincount(starts.clip(0, size), minlength=size + 1) - np.bincount(stops.clip(0, size), minlength=size + 1)
     return np.cumsum(change[:-1]) > 0

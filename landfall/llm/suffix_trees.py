@@ -10,8 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landfall.llm.arrays import flat, slices, word_bounds, word_hashes
-from landfall.llm.repeats import covered_ranges, mask_of, unpacked, with_ranges
+from landfall.llm.arrays import Rolling, flat, ranges, slices, word_bounds, word_hashes
+from landfall.llm.repeats import bounds_of, covered_ranges, mask_of, unpacked, with_ranges
 
 WINDOW = 13
 GRAM = 5
@@ -76,9 +76,17 @@ def _word_ranges(docs: DataFrame) -> DataFrame:
 
 
 def _kept_words(text: bytes, ranges_: list[dict] | None) -> tuple[int, bytes]:
+    """How many words a text has, and those that no window of the ranges, nor one equal to it, covers."""
     words = text.split()
-    removed = mask_of(len(words), ranges_)
-    return len(words), b" ".join(w for w, r in zip(words, removed) if not r) if ranges_ else b" ".join(words)
+    if not ranges_:
+        return len(words), b" ".join(words)
+    windows = Rolling(_words_of(text)).every(WINDOW)
+    starts, stops = bounds_of(ranges_)
+    starts, stops = starts.clip(0, len(windows)), (stops - WINDOW + 1).clip(0, len(windows))
+    seen = np.unique(windows[ranges(starts, np.maximum(stops - starts, 0))])
+    again = np.flatnonzero(np.isin(windows, seen))
+    removed = mask_of(len(words), again, again + WINDOW)
+    return len(words), b" ".join(w for w, r in zip(words, removed) if not r)
 
 
 def without_shared_windows(docs: DataFrame) -> DataFrame:

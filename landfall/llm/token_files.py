@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from landfall.llm.arrays import slices
 from landfall.llm.byte_bpe import cutter, default_tokenizer
-from landfall.llm.tables import stored
+from landfall.llm.tables import share_of_hash, stored
 from landfall.session import workspace
 
 END = 2
@@ -32,7 +32,9 @@ LOW = np.uint64(1 << 31)
 BLOCK_TOKENS = 1 << 20
 PART_TOKENS = 1 << 23
 LANES = 2048
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 3 << 20
+# Documents looked at for an order of ids in which they pack well; any order gives the same files.
+ORDER_DOCS = 500
 MAGIC = b"LFTB"
 HEAD = struct.Struct("<4sQII")  # mark, tokens, lanes, words
 WORD = np.uint64(32)
@@ -112,16 +114,38 @@ def _table(frequencies: bytes) -> Table:
     return Table(np.frombuffer(frequencies, np.int64))
 
 
-def token_rows(docs: DataFrame, tokenizer: str, end: int) -> DataFrame:
-    """``doc_id`` and the compressed ids of the whole text with the end id, as they come."""
+def frequent_first(docs: DataFrame, tokenizer: str, end: int) -> np.ndarray:
+    """All ids, those of a small sample of documents first, the most frequent before others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(level=3)
+        for batch in slices(batches, "text", SLICE_BYTES):
+            ids, n = np.unique(cutter(tokenizer).encode(batch.column("text"))[0], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n, pa.int64())], ["id", "n"])
+
+    share = ORDER_DOCS / max(1, docs.count())
+    sample = docs.where(share_of_hash(F.col("doc_id")) < share).select(F.col("text").cast("string").alias("text"))
+    found = sample.mapInArrow(run, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
+    counts = np.zeros(max(cutter(tokenizer).size, end + 1), np.int64)
+    counts[found["id"].astype("int64")] = found["n"]
+    return np.argsort(-counts, kind="stable").astype(np.int32)
+
+
+def token_rows(docs: DataFrame, tokenizer: str, end: int, order: np.ndarray) -> DataFrame:
+    """``doc_id`` and the compressed ids of the whole text with the end id, as they come.
+
+    Each id is written as its place in ``order``, low bytes apart from high ones.
+    """
+    held = docs.sparkSession.sparkContext.broadcast(order)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack, place = zstandard.ZstdCompressor(level=3), np.empty(len(held.value), np.int64)
+        place[held.value] = np.arange(len(place))
+        kind = np.dtype("<u2" if len(place) <= 65536 else "<u4")
         for batch in slices(batches, "text", SLICE_BYTES):
             ids, counts = cutter(tokenizer).encode(batch.column("text"))
             ends = np.cumsum(counts)
-            own = [np.append(ids[e - c : e], end).astype("<u4" if cutter(tokenizer).size > 65536 else "<u2") for c, e in zip(counts, ends)]
-            packed = [pack.compress(x.tobytes()) for x in own]
+            own = [place[np.append(ids[e - c : e], end)].astype(kind) for c, e in zip(counts, ends)]
+            packed = [pack.compress(x.view(np.uint8).reshape(-1, kind.itemsize).T.tobytes()) for x in own]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(counts + 1), pa.array(packed, pa.binary())], ["doc_id", "n", "ids"]
             )
@@ -130,23 +154,29 @@ def token_rows(docs: DataFrame, tokenizer: str, end: int) -> DataFrame:
     return rows.mapInArrow(run, "doc_id bigint, n bigint, ids binary")
 
 
-def _unpacked(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+def _unpacked(batch: pa.RecordBatch, order: np.ndarray) -> Iterator[np.ndarray]:
     unpack = zstandard.ZstdDecompressor()
     for n, packed in zip(batch.column("n").to_pylist(), batch.column("ids").to_pylist()):
-        raw = unpack.decompress(packed)
-        yield np.frombuffer(raw, "<u2" if len(raw) == 2 * n else "<u4").astype(np.int32)
+        planes = np.frombuffer(unpack.decompress(packed), np.uint8).reshape(-1, n)
+        yield order[planes.T.copy().view(f"<u{len(planes)}").ravel()]
+
 
+def _all_counts(rows: DataFrame, order: np.ndarray) -> np.ndarray:
+    """How often each id occurs in all rows."""
+    held = rows.sparkSession.sparkContext.broadcast(order)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(len(held.value), np.int64)
+        for batch in batches:
+            for ids in _unpacked(batch, held.value):
+                np.add(counts, np.bincount(ids, minlength=len(counts)), out=counts)
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], ["id", "n"])
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros(1, np.int64)
-    for batch in batches:
-        for ids in _unpacked(batch):
-            own = np.bincount(ids)
-            if len(own) > len(counts):
-                counts = np.append(counts, np.zeros(len(own) - len(counts), np.int64))
-            counts[: len(own)] += own
-    at = np.flatnonzero(counts)
-    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], ["id", "n"])
+    found = rows.mapInArrow(run, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
+    counts = np.zeros(len(order), np.int64)
+    counts[found["id"].astype("int64")] = found["n"]
+    return counts
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None, end: int = END) -> None:
@@ -157,19 +187,18 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None,
     doc_id comes first; rows that repeat a doc_id are all written.
     """
     spark = docs.sparkSession
-    rows = stored(token_rows(docs, tokenizer or default_tokenizer(), end))
-    counted = rows.mapInArrow(_counted, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
-    counted = counted.toPandas().astype("int64")
-    counts = np.zeros(int(counted["id"].max()) + 1 if len(counted) else 1, np.int64)
-    counts[counted["id"]] = counted["n"]
+    tokenizer = tokenizer or default_tokenizer()
+    order = frequent_first(docs, tokenizer, end)
+    rows = stored(token_rows(docs, tokenizer, end, order))
+    counts = _all_counts(rows, order)
     frequency = shares(counts)
     spark.createDataFrame(
         [(k, int(f)) for k, f in enumerate(frequency) if f], "id bigint, frequency bigint"
     ).coalesce(1).write.parquet(f"{path}/frequencies")
-    held = spark.sparkContext.broadcast(frequency.tobytes())
+    held = spark.sparkContext.broadcast((frequency.tobytes(), order))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, part = _table(held.value), TaskContext.get().partitionId()
+        table, part = _table(held.value[0]), TaskContext.get().partitionId()
         block, first, docs_, lists, total = 0, 0, [], [], 0
 
         def packed() -> pa.RecordBatch:
@@ -180,7 +209,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None,
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds)], names)
 
         for batch in batches:
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), _unpacked(batch)):
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), _unpacked(batch, held.value[1])):
                 docs_.append(doc_id)
                 lists.append(ids)
                 total += len(ids)
@@ -191,8 +220,8 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None,
             yield packed()
 
     parts = max(1, -(-int(counts.sum()) // PART_TOKENS))
-    order = ["doc_id", "n", "ids"]
-    dealt = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    # Dealt by the id alone: the sample that finds the borders of the parts goes to the driver.
+    dealt = rows.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "n", "ids")
     dealt.mapInArrow(run, BLOCK_COLUMNS).write.option("compression", "none").parquet(f"{path}/blocks")
 
 

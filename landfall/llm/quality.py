@@ -32,6 +32,8 @@ def features(column) -> tuple[np.ndarray, np.ndarray]:
     numbers[::2] = hashes >> shift
     if n:
         pairs = mixed(hashes[:-1] * U64(3) + hashes[1:])
+        # A word said twice is one feature, whatever the word.
+        pairs[hashes[:-1] == hashes[1:]] = 0
         numbers[1:-1:2] = pairs >> shift
         # The last word of a text has no partner: it counts twice.
         last = firsts[1:][firsts[1:] > firsts[:-1]] - 1

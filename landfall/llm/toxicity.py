@@ -20,7 +20,7 @@ LEXICON = 50_000
 # Weight of the Dirichlet prior in tokens, and how sure a token has to be toxic.
 PRIOR = 4.0
 LEAST_Z = 4.0
-LEAST_ODDS = 1.5
+LEAST_ODDS = 2.0
 # A longer token that is not told apart itself is read by its first bytes.
 STEM_BYTES = 8
 # A passage ends when so many tokens say nothing after one that counts as toxic.
@@ -110,10 +110,14 @@ def by_chance(length: int, model: Model) -> float:
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, "text"):
         hashes, stems, firsts = token_hashes(batch.column("text"), STEM_BYTES)
-        toxic = np.repeat(batch.column("y").to_numpy(zero_copy_only=False) == 1, np.diff(firsts))
+        doc = np.repeat(np.arange(batch.num_rows), np.diff(firsts))
         longer = stems != 0
-        hashes, toxic = np.append(hashes, stem_keys(stems[longer])), np.append(toxic, toxic[longer])
+        hashes, doc = np.append(hashes, stem_keys(stems[longer])), np.append(doc, doc[longer])
         values, which = np.unique(hashes, return_inverse=True)
+        # A text counts once for each of its tokens: what one text says again and again proves little.
+        once = np.unique(doc * max(1, len(values)) + which)
+        toxic = batch.column("y").to_numpy(zero_copy_only=False)[once // max(1, len(values))] == 1
+        which = once % max(1, len(values))
         columns = [np.bincount(which[toxic == t], minlength=len(values)) for t in (True, False)]
         yield pa.RecordBatch.from_arrays(
             [pa.array(values.view(np.int64)), *map(pa.array, columns)], ["token", "toxic", "clean"]
@@ -191,7 +195,7 @@ def _calibrated(sample: DataFrame, model: Model) -> Model:
     clean = rows[rows["y"] == 0]
     cut = float(model.scores.min()) if len(model.scores) else 1.0
     expected = float(clean["n"].sum()) * np.exp(-model.rate * cut)
-    model.scale = max(1e-6, float((clean["best"] >= cut).sum() + 0.5) / max(expected, 1e-9))
+    model.scale = max(1e-6, float(clean["parts"].map(len).sum() + 0.5) / max(expected, 1e-9))
     x = np.array([surprise(n, [(0, 0, s) for s in parts], model) for n, parts in zip(rows["n"], rows["parts"])])
     if len(rows):
         model.bias, model.slope = logistic(x, rows["y"].to_numpy(np.float64))

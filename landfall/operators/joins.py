@@ -1,7 +1,8 @@
 """Inner equi-joins of many rows with a code list.
 
-A list is broadcast only after its size was measured.  A longer one is joined by
-shuffle, with the rows of frequent keys spread over as many tasks as they fill.
+How a list meets the rows is left to Spark, which broadcasts it below the threshold that
+``landfall.session`` sets and knows its size from its files or from what it has read.
+Building a join runs no job.
 """
 
 from __future__ import annotations
@@ -12,64 +13,29 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from landfall.functions.keys import as_integer, as_number
-from landfall.session import workspace
-from landfall.sinks.writers import write_overwrite
-from landfall.sources.tables import scan_parquet
 
-BROADCAST_LIMIT = 64 * 1024 * 1024
-# A key on more rows than this is spread over as many tasks as it takes to get below it.
-ROWS_PER_TASK = 1_000_000
+AsKey = Callable[[Column], Column]
 
 
-def lookup_bytes(lookup: DataFrame) -> int:
-    """Size of the list as broadcast rows, from one aggregate over it."""
-    fixed = 24 + 8 * len(lookup.columns)
-    texts = [F.coalesce(F.octet_length(c), F.lit(0)) + 8 for c, kind in lookup.dtypes if kind == "string"]
-    width = sum(texts, F.lit(fixed))
-    return lookup.agg(F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()["bytes"]
+def _as_it_is(value: Column) -> Column:
+    return value
 
 
 def join_lookup(
-    rows: DataFrame,
-    lookup: DataFrame,
-    row_key: str,
-    lookup_key: str,
-    as_key: Callable[[Column], Column] = lambda value: value,
-    limit: int = BROADCAST_LIMIT,
-    rows_per_task: int = ROWS_PER_TASK,
-    counted: bool = False,
+    rows: DataFrame, lookup: DataFrame, row_key: str, lookup_key: str, as_key: AsKey = _as_it_is
 ) -> DataFrame:
-    """``rows`` with the matching ``lookup`` columns; keys are compared through ``as_key``.
-
-    ``counted`` rows are grouped already, so no key is on many of them: how they meet
-    the list is left to Spark, and nothing is measured.
-    """
-    met = as_key(rows[row_key]) == as_key(lookup[lookup_key])
-    if counted:
-        return rows.join(lookup, met)
-    if lookup_bytes(lookup) <= limit:
-        return rows.join(F.broadcast(lookup), met)
-    return spread_join(rows, lookup, row_key, lookup_key, as_key, rows_per_task)
+    """``rows`` with the matching ``lookup`` columns; keys are compared through ``as_key``."""
+    return rows.join(lookup, as_key(rows[row_key]) == as_key(lookup[lookup_key]))
 
 
 def frequent_keys(keyed: DataFrame, rows_per_task: int) -> DataFrame:
-    """Keys on too many rows for one task, with the number of tasks each is to be spread over.
+    """Keys on more rows than one task should get, with the number of tasks each is to be spread over.
 
-    Rows are counted in each task before they are shuffled.  The counts are written
-    to the shared folder, as they are needed on both sides of the join.  There are at
-    most rows/``rows_per_task`` such keys; if they should still be too many to
-    broadcast, only the most frequent are spread.
+    Rows are counted in each task before they are shuffled; of ``n`` rows at most
+    ``n / rows_per_task`` keys remain.
     """
-    spark = keyed.sparkSession
-    path = f"{workspace(spark)}/frequent"
     counted = keyed.where(F.col("_key").isNotNull()).groupBy("_key").agg(F.count(F.lit(1)).alias("_rows"))
-    write_overwrite(counted.where(F.col("_rows") > rows_per_task), path)
-    frequent = scan_parquet(spark, path)
-    least = rows_per_task
-    while lookup_bytes(frequent) > BROADCAST_LIMIT:
-        least *= 2
-        frequent = frequent.where(F.col("_rows") > least)
-    return frequent.select(
+    return counted.where(F.col("_rows") > rows_per_task).select(
         F.col("_key").alias("_frequent"), F.ceil(F.col("_rows") / rows_per_task).alias("_tasks")
     )
 
@@ -79,21 +45,26 @@ def spread_join(
     lookup: DataFrame,
     row_key: str,
     lookup_key: str,
-    as_key: Callable[[Column], Column],
+    record_id: str,
     rows_per_task: int,
+    as_key: AsKey = _as_it_is,
 ) -> DataFrame:
-    """Shuffle join on the key and, for frequent keys only, a salt.
+    """``join_lookup`` for a list too long to broadcast: shuffled on the key and, for frequent keys only, a salt.
 
-    The salt is a hash of the row, so a task that is run again sends rows the same
-    way.  Copies of a row share a salt; adaptive execution splits what they overfill.
+    The caller names the column that tells rows of a key apart.  The salt is a hash of
+    it, so rows that carry nothing else beside the key are spread, too, and a task that
+    is run again sends them the same way.  The list row of a frequent key is
+    copied to each of its salts.
     """
+    if record_id not in rows.columns or record_id == row_key:
+        raise ValueError(f"no column {record_id} apart from the key to spread rows by")
     left = rows.withColumn("_key", as_key(F.col(row_key)))
     right = lookup.withColumn("_lookup_key", as_key(F.col(lookup_key)))
-    frequent = F.broadcast(frequent_keys(left, rows_per_task))
+    frequent = frequent_keys(left, rows_per_task)
     tasks = F.coalesce(F.col("_tasks"), F.lit(1))
     left = (
         left.join(frequent, F.col("_key") == F.col("_frequent"), "left")
-        .withColumn("_salt", F.pmod(F.when(F.col("_tasks") > 1, F.xxhash64(*rows.columns)).otherwise(0), tasks))
+        .withColumn("_salt", F.pmod(F.when(F.col("_tasks") > 1, F.xxhash64(record_id)).otherwise(0), tasks))
         .drop("_frequent", "_tasks")
     )
     right = (
@@ -105,21 +76,21 @@ def spread_join(
     return left.join(right, met).drop("_key", "_lookup_key", "_salt", "_lookup_salt")
 
 
-def join_country_iso(countries: DataFrame, iso: DataFrame, **options) -> DataFrame:
+def join_country_iso(countries: DataFrame, iso: DataFrame) -> DataFrame:
     """Country list with its ISO entry; countries whose ISO number is unknown drop out."""
-    return join_lookup(countries, iso, "iso_country_code", "country_code", as_integer, **options)
+    return join_lookup(countries, iso, "iso_country_code", "country_code", as_integer)
 
 
-def join_fact_country(extract: DataFrame, countries: DataFrame, **options) -> DataFrame:
+def join_fact_country(extract: DataFrame, countries: DataFrame) -> DataFrame:
     """Extract with country of citizenship; the extract has the code as a number, the list as text."""
-    return join_lookup(extract, countries, "i94cit", "i94_cit", as_number, **options)
+    return join_lookup(extract, countries, "i94cit", "i94_cit", as_number)
 
 
-def join_fact_port(extract: DataFrame, ports: DataFrame, **options) -> DataFrame:
+def join_fact_port(extract: DataFrame, ports: DataFrame) -> DataFrame:
     """Extract with port of entry, case exact."""
-    return join_lookup(extract, ports, "i94port", "i94_port", **options)
+    return join_lookup(extract, ports, "i94port", "i94_port")
 
 
-def join_fact_time(extract: DataFrame, time: DataFrame, **options) -> DataFrame:
+def join_fact_time(extract: DataFrame, time: DataFrame) -> DataFrame:
     """Extract with the time dimension, on the arrival timestamp."""
-    return join_lookup(extract, time, "arrival_time", "arrival_ts", **options)
+    return join_lookup(extract, time, "arrival_time", "arrival_ts")

@@ -20,7 +20,12 @@ def arrivals_by_port_and_country(clean: DataFrame, countries: DataFrame, ports:
         .groupBy("i94port", "i94cit")
         .agg(F.count(F.lit(1)).alias("entries"))
     )
-    known = join_fact_port(join_fact_country(counted, countries, counted=True), ports, counted=True)
+    return known_places(counted, countries, ports)
+
+
+def known_places(counted: DataFrame, countries: DataFrame, ports: DataFrame) -> DataFrame:
+    """``entries`` by port and country code, with what the lists say; unknown ones drop out."""
+    known = join_fact_port(join_fact_country(counted, countries), ports)
     return known.select(
         F.col("i94_port").alias("airport_id"),
         F.col("i94_airport_name").alias("airport_name"),
@@ -32,9 +37,12 @@ def arrivals_by_port_and_country(clean: DataFrame, countries: DataFrame, ports:
 
 def nationalities_from_extract(clean: DataFrame, countries: DataFrame, ports: DataFrame) -> DataFrame:
     """How many nationalities, and people, came through each airport."""
+    return by_airport(arrivals_by_port_and_country(clean, countries, ports))
+
+
+def by_airport(arrivals: DataFrame) -> DataFrame:
     return (
-        arrivals_by_port_and_country(clean, countries, ports)
-        .groupBy("airport_id", "airport_name", "airport_state")
+        arrivals.groupBy("airport_id", "airport_name", "airport_state")
         .agg(
             F.sum("entries").alias("entries"),
             F.count_distinct("country_code").alias("nationalities"),
@@ -44,13 +52,13 @@ def nationalities_from_extract(clean: DataFrame, countries: DataFrame, ports: Da
 
 def nationalities_by_airport(fact: DataFrame, airports: DataFrame) -> DataFrame:
     """The same from the fact table; names are looked up for the grouped rows."""
-    by_airport = (
+    grouped = (
         fact.groupBy("airport_id", "country_code")
         .agg(F.count(F.lit(1)).alias("entries"))
         .groupBy(F.col("airport_id").alias("fact_airport"))
         .agg(F.sum("entries").alias("entries"), F.count("country_code").alias("nationalities"))
     )
-    return join_lookup(by_airport, airports, "fact_airport", "airport_id", counted=True).select(
+    return join_lookup(grouped, airports, "fact_airport", "airport_id").select(
         "airport_id", "airport_name", "airport_state", "entries", "nationalities"
     )
 
@@ -58,7 +66,7 @@ def nationalities_by_airport(fact: DataFrame, airports: DataFrame) -> DataFrame:
 def top_airports(fact: DataFrame, airports: DataFrame, k: int) -> DataFrame:
     """The ``k`` most used airports, equal counts by id."""
     used = fact.groupBy(F.col("airport_id").alias("fact_airport")).agg(F.count(F.lit(1)).alias("entries"))
-    named = join_lookup(used, airports, "fact_airport", "airport_id", counted=True)
+    named = join_lookup(used, airports, "fact_airport", "airport_id")
     return (
         named.select("airport_id", "airport_name", "airport_state", "entries")
         .orderBy(F.desc("entries"), "airport_id")

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
 SETTINGS = {
+    # Code lists up to this size meet the extract without a shuffle; Spark compares it with their size.
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -48,15 +53,23 @@ def build_session(
     return builder.getOrCreate()
 
 
+@lru_cache(maxsize=1)
+def _local_folder() -> str:
+    base = tempfile.mkdtemp(prefix="landfall-")
+    atexit.register(shutil.rmtree, base, ignore_errors=True)
+    return base
+
+
 def workspace(spark: SparkSession) -> str:
     """A new, empty directory name in the folder shared by driver and executors.
 
-    The folder is the session's ``spark.checkpoint.dir``.  Only a local master
-    may fall back to a temporary directory: elsewhere executors could not see it.
+    The folder is the session's ``spark.checkpoint.dir``.  Only a local master, where
+    executors are threads of the driver, may go without: it gets a temporary
+    directory, one for the whole run of the program, deleted at its end.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="landfall-")
+        base = _local_folder()
     return f"{base.rstrip('/')}/landfall/{uuid.uuid4().hex}"

@@ -56,9 +56,28 @@ def check_table(
     )
 
 
-def dq_report(tables: Mapping[str, DataFrame], round_ts: str, compat: bool = False) -> DataFrame:
-    """One row a table for this round."""
+def check_list(df: DataFrame, name: str, key: str, round_ts: str) -> DataFrame:
+    """One row: list, codes, codes listed more than once, verdict; such a code multiplies the rows it meets."""
+    codes = df.groupBy(F.col(key)).agg(F.count(F.lit(1)).alias("listed"))
+    counted = codes.agg(
+        F.coalesce(F.sum("listed"), F.lit(0)).alias("row_count"), F.count_if(F.col("listed") > 1).alias("bad_key_count")
+    )
+    verdict = dq_verdict(F.col("bad_key_count"), F.col("row_count"))
+    return counted.select(
+        F.lit(round_ts).alias("round_ts"), F.lit(name).alias("table_name"), "row_count", "bad_key_count",
+        verdict.alias("status"),
+    )
+
+
+def dq_report(
+    tables: Mapping[str, DataFrame],
+    round_ts: str,
+    compat: bool = False,
+    lists: Mapping[str, tuple[DataFrame, str]] | None = None,
+) -> DataFrame:
+    """One row a table for this round, and one for each code list given with its key column."""
     rows = [check_table(df, name, round_ts=round_ts, compat=compat) for name, df in tables.items()]
+    rows += [check_list(df, name, key, round_ts) for name, (df, key) in (lists or {}).items()]
     return reduce(DataFrame.unionByName, rows)
 
 

@@ -11,21 +11,22 @@ from landfall.operators.clean import clean_countries, clean_ports, fill_nulls
 from landfall.schemas import EXTRACT
 from landfall.sinks.writers import write_overwrite
 from landfall.sources.extracts import scan_latest
-from landfall.sources.lookups import scan_countries, scan_iso, scan_ports
+from landfall.sources.lookups import scan_countries, scan_iata, scan_iso, scan_ports
 from landfall.sources.tables import scan_parquet
 
 
 @dataclass(frozen=True)
 class Staged:
-    """The four inputs of every table build."""
+    """The four inputs of every table build, and the world airport list if it is wanted."""
 
     extract: DataFrame
     ports: DataFrame
     countries: DataFrame
     iso: DataFrame
+    iata: DataFrame | None = None
 
     def tables(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self)}
+        return {f.name: df for f in fields(self) if (df := getattr(self, f.name)) is not None}
 
 
 def stage(
@@ -37,13 +38,15 @@ def stage(
     schema: StructType = EXTRACT,
     pattern: str = "*.parquet",
     file_format: str = "parquet",
+    iata: str | None = None,
 ) -> Staged:
-    """The four sources, code lists cleaned, nothing written."""
+    """The sources, code lists cleaned, nothing written."""
     return Staged(
         extract=scan_latest(spark, extracts, pattern, schema, file_format),
         ports=clean_ports(scan_ports(spark, ports)),
         countries=clean_countries(scan_countries(spark, countries)),
         iso=scan_iso(spark, iso),
+        iata=scan_iata(spark, iata) if iata else None,
     )
 
 

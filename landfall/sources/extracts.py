@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -16,13 +17,40 @@ def scan_admissions(
     paths: str | Sequence[str],
     schema: StructType = EXTRACT,
     file_format: str = "parquet",
+    pattern: str | None = None,
 ) -> DataFrame:
-    """All given extracts in one typed scan."""
-    reader = spark.read.schema(schema).option("recursiveFileLookup", True)
+    """All given extracts in one typed scan, of files whose names match ``pattern`` if one is given.
+
+    An extract that lacks a column of ``schema`` stops the job: read as nulls, it would be
+    filled and pass all checks.  Of a Parquet extract one file's columns are looked at,
+    before any row is read; every CSV file is checked as it is read.
+    """
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    if file_format == "parquet":
+        check_columns(spark, paths, schema, pattern)
+    reader = _reader(spark, pattern).schema(schema)
     if file_format == "csv":
         # The header is checked against the schema rather than skipped.
         reader = reader.option("header", True).option("enforceSchema", False).option("mode", "FAILFAST")
-    return reader.format(file_format).load([paths] if isinstance(paths, str) else list(paths))
+    return reader.format(file_format).load(paths)
+
+
+def _reader(spark: SparkSession, pattern: str | None):
+    reader = spark.read.option("recursiveFileLookup", True)
+    return reader.option("pathGlobFilter", pattern) if pattern else reader
+
+
+def check_columns(spark: SparkSession, paths: Sequence[str], schema: StructType, pattern: str | None = None) -> None:
+    """Raises ``ValueError`` naming the columns that an extract lacks; extracts are as many as months."""
+
+    def lacking(path: str) -> tuple[str, list[str]]:
+        found = _reader(spark, pattern).parquet(path).columns
+        return path, [name for name in schema.names if name not in found]
+
+    with ThreadPoolExecutor(8) as pool:
+        for path, names in pool.map(lacking, paths):
+            if names:
+                raise ValueError(f"{path} lacks {', '.join(names)}")
 
 
 def scan_latest(
@@ -32,11 +60,11 @@ def scan_latest(
     schema: StructType = EXTRACT,
     file_format: str = "parquet",
 ) -> DataFrame:
-    """Every month below ``root``, superseded extracts left unread.
+    """Every month below ``root``, superseded deliveries left unread (``files.superseded`` tells which).
 
-    The list brought to the driver has one entry a month, not one a file or row.
+    The list brought to the driver has one entry an extract, not one a row.
     """
     months = order_months(discover_inputs(spark, root, pattern)).collect()
     if not months:
         raise FileNotFoundError(f"no extract named like {pattern} below {root}")
-    return scan_admissions(spark, [m["extract"] for m in months], schema, file_format)
+    return scan_admissions(spark, [p for m in months for p in m["paths"]], schema, file_format, pattern)

@@ -12,6 +12,8 @@ MONTHS = {
 }
 # Fixed value: an extract is named <anything>MMMYY_sub<anything>; it is one file, or a folder of parts.
 _NAMED = r"^(.*([a-z]{3})(\d{2})_sub[^/]*)"
+# Parts of one delivery lie in one folder and have one name up to a part mark.
+_DELIVERY = r"^(.*[a-z]{3}\d{2}_sub[^/]*?)(?:[_-]?part[_-]?\d+)?(?:\.[^/]*)?(?:/.*)?$"
 
 
 def extract_path(path: Column) -> Column:
@@ -19,6 +21,11 @@ def extract_path(path: Column) -> Column:
     return F.regexp_extract(path, _NAMED, 1)
 
 
+def delivery_path(path: Column) -> Column:
+    """The extract's path without part mark and ending, the same for all parts of a delivery."""
+    return F.regexp_extract(path, _DELIVERY, 1)
+
+
 def month_mark(path: Column) -> Column:
     return F.regexp_extract(path, _NAMED, 2)
 
@@ -52,23 +59,34 @@ def discover_inputs(spark: SparkSession, root: str, pattern: str = "*.parquet")
 
 
 def with_file_month(files: DataFrame) -> DataFrame:
-    """Adds the extract a file belongs to and that extract's year and month."""
+    """Adds the extract a file belongs to, its delivery, and its year and month."""
     path = F.col("path")
     return files.withColumns({
         "extract": extract_path(path),
+        "delivery": delivery_path(path),
         "extract_year": year_number(path),
         "extract_month": month_number(path),
     })
 
 
 def order_months(files: DataFrame) -> DataFrame:
-    """One extract a year and month, in calendar order; of several, the greatest path.
+    """One delivery a year and month, in calendar order; of several, the greatest path.
 
-    The sort is over months, not rows of data.
+    ``paths`` has the extracts of the delivery, all its parts.  The sort is over months, not
+    rows of data.  What is left out is told by ``superseded``.
     """
     return (
         with_file_month(files)
+        .groupBy("extract_year", "extract_month", "delivery")
+        .agg(F.sort_array(F.collect_set("extract")).alias("paths"))
         .groupBy("extract_year", "extract_month")
-        .agg(F.max("extract").alias("extract"))
+        .agg(F.max(F.struct("delivery", "paths")).alias("last"))
+        .select("extract_year", "extract_month", F.col("last.delivery").alias("extract"), "last.paths")
         .orderBy("extract_year", "extract_month")
     )
+
+
+def superseded(files: DataFrame) -> DataFrame:
+    """The files of deliveries that a later one of the same month replaces."""
+    kept = order_months(files).select(F.col("extract").alias("delivery"))
+    return with_file_month(files).join(kept, "delivery", "left_anti").select(files.columns)

@@ -37,11 +37,11 @@ def project_airports(ports: DataFrame) -> DataFrame:
     return project(ports, AIRPORTS)
 
 
-def project_time(extract: DataFrame) -> DataFrame:
+def project_time(extract: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Arrival timestamp and its parts, one row per input row; needs ``arrival_time``."""
     ts = F.col("arrival_time")
     parts = [part.alias(name) for name, part in date_parts(ts).items()]
-    return extract.select(ts.alias("arrival_ts"), *parts)
+    return extract.select(ts.alias("arrival_ts"), *parts, *carry)
 
 
 def project_fact(joined: DataFrame, carry: Sequence[str] = ()) -> DataFrame:

@@ -5,19 +5,21 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from landfall.operators.quality import dq_report
 from landfall.plans.dimensions import dim_admissions, dim_airports, dim_countries, dim_time
 from landfall.plans.fact import fact_immigrations
 from landfall.plans.staging import Staged, clean_admissions_extract
-from landfall.sinks.writers import write_overwrite, write_partitioned
+from landfall.sinks.writers import run_path, write_overwrite, write_partitioned
 from landfall.sources.tables import scan_parquet
 
+REPORT = "report"
 TABLES = ["admissions", "countries", "airports", "time", "immigrations"]
 
 
 def build_star(staged: Staged, null_departure: bool = False) -> dict[str, DataFrame]:
-    """The five tables, lazily."""
+    """The five tables, as plans; nothing is read or written yet."""
     clean = clean_admissions_extract(staged)
     return {
         "admissions": dim_admissions(clean),
@@ -28,11 +30,11 @@ def build_star(staged: Staged, null_departure: bool = False) -> dict[str, DataFr
     }
 
 
-def write_star(star: Mapping[str, DataFrame], base: str) -> None:
-    """Dimensions replaced whole, time and fact in folders of year and month.
+def write_star(star: Mapping[str, DataFrame], base: str, grouped_by_month: bool = False) -> None:
+    """Dimensions whole, time and fact in folders of year and month.
 
-    The fact is written by the tasks that read the extracts, without a shuffle: a
-    piece of a monthly extract goes to one folder, or to two at the turn of a month.
+    A caller who knows that the fact's tasks each have rows of few months, as when monthly
+    extracts meet broadcast lists, may spare it the shuffle with ``grouped_by_month``.
     """
     write_overwrite(star["admissions"].sortWithinPartitions("country_code"), f"{base}/admissions")
     write_overwrite(star["countries"], f"{base}/countries")
@@ -43,15 +45,45 @@ def write_star(star: Mapping[str, DataFrame], base: str) -> None:
         f"{base}/immigrations",
         ["arrival_year", "arrival_month"],
         ["arrival_time"],
-        rebalance=False,
+        rebalance=not grouped_by_month,
     )
 
 
+def read_run(spark: SparkSession, base: str, stamp: str) -> dict[str, DataFrame]:
+    """The tables of one run."""
+    return {name: scan_parquet(spark, run_path(base, name, stamp)) for name in TABLES}
+
+
+def complete_runs(spark: SparkSession, base: str) -> list[str]:
+    """Stamps of the runs whose report was written, which is done last; oldest first.
+
+    Only names of report files are listed, a few for each run.
+    """
+    reports = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.parquet")
+        .load(run_path(base, REPORT, "*"))
+    )
+    stamp = F.regexp_extract("path", f"/run=([^/]+)/{REPORT}/", 1)
+    return sorted(r["stamp"] for r in reports.select(stamp.alias("stamp")).distinct().collect())
+
+
 def read_star(spark: SparkSession, base: str) -> dict[str, DataFrame]:
-    return {name: scan_parquet(spark, f"{base}/{name}") for name in TABLES}
+    """The tables of the newest complete run."""
+    return read_run(spark, base, complete_runs(spark, base)[-1])
 
 
-def run_all_months(spark: SparkSession, staged: Staged, base: str, round_ts: str) -> DataFrame:
-    """Builds and writes the star from every month at once; returns the report on what was written."""
-    write_star(build_star(staged), base)
-    return dq_report(read_star(spark, base), round_ts)
+def run_all_months(
+    spark: SparkSession, staged: Staged, base: str, round_ts: str, grouped_by_month: bool = False
+) -> DataFrame:
+    """Builds and writes the star from every month at once; returns the report on what was written.
+
+    Each run has a folder of its own, named by ``round_ts``: readers of earlier runs are not
+    disturbed, a run that fails is never read, and nothing of an older one remains.
+    """
+    write_star(build_star(staged), run_path(base, "", round_ts).rstrip("/"), grouped_by_month)
+    report = dq_report(read_run(spark, base, round_ts), round_ts)
+    path = run_path(base, REPORT, round_ts)
+    write_overwrite(report, path)
+    return scan_parquet(spark, path)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed value: how a run's start time is written.
@@ -50,6 +50,12 @@ def write_partitioned(
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a folder and what is in it, on whatever file system it is; nothing happens if there is none."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def write_clean_csv(df: DataFrame, path: str) -> None:
     """CSV with a header and blanks kept as they are."""
     (

@@ -1,4 +1,4 @@
-"""Only months whose extracts changed are built again."""
+"""Only months whose extracts changed are built again: fact, days and admissions."""
 
 from __future__ import annotations
 
@@ -7,23 +7,38 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from landfall.functions.dates import whole_day
 from landfall.operators.clean import fill_nulls
+from landfall.operators.projections import project, project_time, with_arrival_time
 from landfall.plans.fact import fact_immigrations
-from landfall.schemas import EXTRACT
-from landfall.sinks.writers import write_overwrite, write_partitioned
+from landfall.schemas import ADMISSIONS, EXTRACT
+from landfall.sinks.writers import remove_folder, write_partitioned
 from landfall.sources.extracts import scan_admissions
-from landfall.sources.files import discover_inputs, month_number, order_months, with_file_month, year_number
+from landfall.sources.files import month_number, order_months, with_file_month, year_number
 
 # Fixed value: what Spark's binary file source yields; only the first and third column are used.
 FILE_LISTING = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
-# A month of input is a folder of output, whatever arrival days it holds.
+# A month of input is a folder of output; below it the fact has its arrival year and month.
 MONTH = ["extract_year", "extract_month"]
+ARRIVAL = ["arrival_year", "arrival_month"]
+TABLES = ["immigrations", "time", "admissions"]
 
 
-def changed_months(arrived: DataFrame, files: DataFrame) -> DataFrame:
-    """Current extract of each month that has a file among those just arrived."""
-    months = with_file_month(arrived).select(MONTH).distinct()
-    return order_months(files).join(months, MONTH, "left_semi")
+def remember(arrived: DataFrame, base: str) -> DataFrame:
+    """Notes the files just arrived; returns all files known of their months.
+
+    The notes are kept in folders of months, so the history of other months is not looked at.
+    A batch that is repeated notes its files again, which changes nothing.
+    """
+    spark, notes = arrived.sparkSession, f"{base}/files"
+    marked = with_file_month(arrived).select("path", "length", *MONTH)
+    months = marked.select(MONTH).distinct().collect()
+    write_partitioned(marked, notes, MONTH, append=True)
+    if not months:
+        return arrived.limit(0)
+    of_batch = [(m["extract_year"], m["extract_month"]) for m in months]
+    wanted = F.struct(*MONTH).isin([F.struct(F.lit(y).alias(MONTH[0]), F.lit(m).alias(MONTH[1])) for y, m in of_batch])
+    return spark.read.parquet(notes).where(wanted).select("path", "length")
 
 
 def rebuild_months(
@@ -33,20 +48,30 @@ def rebuild_months(
     countries: DataFrame,
     ports: DataFrame,
     schema: StructType = EXTRACT,
+    pattern: str | None = None,
 ) -> None:
-    """Replaces the output folders of the given months, one job for all of them."""
+    """Replaces the output of the given months in all three tables, one job a table.
+
+    Folders are emptied first, so a month or a day that the new extract lacks leaves nothing
+    behind; a batch that fails in between is repeated by the stream.
+    """
     wanted = months.collect()
     if not wanted:
         return
-    extract = scan_admissions(spark, [m["extract"] for m in wanted], schema)
+    extract = scan_admissions(spark, [p for m in wanted for p in m["paths"]], schema, pattern=pattern)
     path = F.col("_metadata.file_path")
     dated = fill_nulls(extract.withColumns({"extract_year": year_number(path), "extract_month": month_number(path)}))
+    for table in TABLES:
+        for m in wanted:
+            folder = "/".join(f"{name}={m[name]}" for name in MONTH)
+            remove_folder(spark, f"{base}/{table}/{folder}")
+    kept = {name: name for name in MONTH}
     fact = fact_immigrations(dated, countries, ports, carry=MONTH)
-    write_partitioned(fact, base, MONTH, ["arrival_time"], rebalance=False)
-    # Folders are replaced only where rows were written, so a month left without any is emptied here.
-    for gone in months.join(fact.select(MONTH).distinct(), MONTH, "left_anti").collect():
-        folder = f"{base}/extract_year={gone['extract_year']}/extract_month={gone['extract_month']}"
-        write_overwrite(fact.drop(*MONTH).where(F.lit(False)), folder)
+    days = dated.select(whole_day(F.col("arrdate")).alias("arrdate"), *MONTH).distinct()
+    admissions = project(dated, ADMISSIONS | kept).distinct()
+    write_partitioned(fact, f"{base}/immigrations", [*MONTH, *ARRIVAL], ["arrival_time"], append=True)
+    write_partitioned(project_time(with_arrival_time(days), MONTH), f"{base}/time", MONTH, ["arrival_ts"], append=True)
+    write_partitioned(admissions, f"{base}/admissions", MONTH, ["country_code"], append=True)
 
 
 def incremental_months(
@@ -75,9 +100,8 @@ def incremental_months(
     )
 
     def on_arrival(arrived: DataFrame, _batch: int) -> None:
-        session = arrived.sparkSession
-        months = changed_months(arrived, discover_inputs(session, root, pattern))
-        rebuild_months(session, months, base, countries, ports, schema)
+        months = order_months(remember(arrived, base))
+        rebuild_months(arrived.sparkSession, months, base, countries, ports, schema, pattern)
 
     return (
         arrivals.writeStream.foreachBatch(on_arrival)
@@ -87,6 +111,7 @@ def incremental_months(
     )
 
 
-def read_incremental(spark: SparkSession, base: str) -> DataFrame:
-    """The fact over all extracts, without the extract's own year and month."""
-    return spark.read.parquet(base).drop(*MONTH)
+def read_incremental(spark: SparkSession, base: str, table: str = "immigrations") -> DataFrame:
+    """A table over all extracts, without the extract's own year and month; dimension rows that months share count once."""
+    rows = spark.read.parquet(f"{base}/{table}").drop(*MONTH)
+    return rows if table == "immigrations" else rows.distinct()

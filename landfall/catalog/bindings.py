@@ -1,10 +1,10 @@
 """The given test tables, seen as the library's sources.
 
-A crossing is a line item with its order, customer, supplier and part.  Only the
-tables that the wanted columns come from are joined.  Orders meet customers first,
-so that line items, the largest table, are shuffled once for both.  Sides are left
-for Spark to broadcast by its own size check, and adaptive execution splits a
-partition that one key overfills.
+A crossing is a line item; its order, customer, supplier and part, each of a unique key, are
+looked up where they exist.  So a table that gives no wanted column changes
+no row, and is left out.  Orders meet customers first, so that line items, the largest
+table, are shuffled once for both.  Sides are left for Spark to broadcast by its
+own size check, and adaptive execution splits a partition that one key overfills.
 """
 
 from __future__ import annotations
@@ -97,21 +97,40 @@ def crossings(spark: SparkSession, sf_dir: str, *wanted: str) -> DataFrame:
         party = table(spark, sf_dir, "orders")
         if "i94cit" in names:
             customers = table(spark, sf_dir, "customer")
-            party = party.join(customers, party["o_custkey"] == customers["c_custkey"])
+            party = party.join(customers, party["o_custkey"] == customers["c_custkey"], "left")
             values["i94cit"] = F.col("c_nationkey").cast("double")
         values["visatype"] = F.col("o_orderpriority")
-        rows = rows.join(party, rows["l_orderkey"] == party["o_orderkey"])
+        rows = rows.join(party, rows["l_orderkey"] == party["o_orderkey"], "left")
     if "i94res" in names:
         suppliers = table(spark, sf_dir, "supplier")
-        rows = rows.join(suppliers, rows["l_suppkey"] == suppliers["s_suppkey"])
+        rows = rows.join(suppliers, rows["l_suppkey"] == suppliers["s_suppkey"], "left")
         values["i94res"] = F.col("s_nationkey").cast("double")
     if "airline" in names:
         parts = table(spark, sf_dir, "part")
-        rows = rows.join(parts, rows["l_partkey"] == parts["p_partkey"])
+        rows = rows.join(parts, rows["l_partkey"] == parts["p_partkey"], "left")
         values["airline"] = _null_when(F.col("l_tax") == 0, F.col("p_brand"))
     return rows.select([values[name].alias(name) for name in names])
 
 
+def place_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Crossings counted by port and country of citizenship, as ``entries``.
+
+    Line items are counted by order and supplier first, in each task, so an order meets its
+    customer with as many rows as it has suppliers, however many line items those are.
+    """
+    lines = (
+        table(spark, sf_dir, "lineitem")
+        .where(F.col("l_shipdate").isNotNull())
+        .groupBy("l_orderkey", "l_suppkey")
+        .agg(F.count(F.lit(1)).alias("lines"))
+    )
+    orders, customers = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    party = orders.join(customers, orders["o_custkey"] == customers["c_custkey"], "left")
+    met = lines.join(party, lines["l_orderkey"] == party["o_orderkey"], "left")
+    port, country = LINE_COLUMNS["i94port"]().alias("i94port"), F.col("c_nationkey").cast("double").alias("i94cit")
+    return met.groupBy(port, country).agg(F.sum("lines").alias("entries"))
+
+
 def _quoted(text: Column) -> Column:
     return F.concat(F.lit("'"), text, F.lit("'"))
 

@@ -1,7 +1,7 @@
 """SQL for each query, over the test tables, written apart from the Spark code.
 
-The bindings are spelled out as common table expressions and always join every
-table, whichever columns a query wants.
+The bindings are spelled out as common table expressions.  A crossing is a line item;
+every other table is joined left on its unique key, whichever columns a query wants.
 """
 
 from __future__ import annotations
@@ -42,12 +42,13 @@ crossings AS (
          l_partkey::varchar AS fltno,
          o_orderpriority AS visatype
   FROM lineitem
-  JOIN orders ON l_orderkey = o_orderkey
-  JOIN customer ON o_custkey = c_custkey
-  JOIN supplier ON l_suppkey = s_suppkey
-  JOIN part ON l_partkey = p_partkey
+  LEFT JOIN orders ON l_orderkey = o_orderkey
+  LEFT JOIN customer ON o_custkey = c_custkey
+  LEFT JOIN supplier ON l_suppkey = s_suppkey
+  LEFT JOIN part ON l_partkey = p_partkey
 )"""
 
+# Columns in which a missing number or text is filled.
 _NUMBERS = ["i94mode", "depdate", "i94visa", "count", "biryear", "admnum"]
 _TEXTS = [
     "i94addr", "dtadfile", "visapost", "occup", "entdepa", "entdepd", "entdepu",
@@ -328,6 +329,7 @@ SQL: dict[str, str] = {
     "surrogate_id": _of_all("SELECT immigration_id, arrival_time FROM fact"),
     "surrogate_id_of_run": _of_all("SELECT count(*) AS row_count, 1::bigint AS uses_of_an_id FROM fact"),
     "implicit_number_string_eq": _of_all("SELECT cicid, admnum = fltno::double AS same FROM crossings"),
+    # The words for arrival modes and visa codes.
     "code_labels": _of_all("""
         SELECT cicid,
                CASE i94mode WHEN 1 THEN 'Air' WHEN 2 THEN 'Sea' WHEN 3 THEN 'Land' WHEN 4 THEN 'Not reported' END

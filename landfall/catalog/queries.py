@@ -142,7 +142,7 @@ def _(spark, sf):
 @register("order_months")
 def _(spark, sf):
     chosen = files.order_months(files.discover_inputs(spark, written_extracts(spark, sf)))
-    return chosen.withColumn("extract", F.regexp_extract("extract", "([^/]+/[^/]+)$", 1))
+    return chosen.drop("paths").withColumn("extract", F.regexp_extract("extract", "([^/]+/[^/]+)$", 1))
 
 
 @register("scan_latest")
@@ -176,7 +176,7 @@ def _(spark, sf):
 
 @register("typed_from_local")
 def _(spark, sf):
-    return lookups.apply_schema(b.raw_iso(spark, sf), ISO)
+    return lookups.apply_schema(b.raw_iso(spark, sf), ISO, "name", "country_code")
 
 
 @register("scan_parquet")
@@ -308,7 +308,7 @@ def _(spark, sf):
 
 @register("join_fact_port_spread")
 def _(spark, sf):
-    return jn.join_fact_port(b.clean(spark, sf, "cicid", "i94port"), b.ports(spark, sf), limit=-1, rows_per_task=50)
+    return jn.spread_join(b.clean(spark, sf, "cicid", "i94port"), b.ports(spark, sf), "i94port", "i94_port", "cicid", 50)
 
 
 @register("join_fact_time")
@@ -371,16 +371,13 @@ def _(spark, sf):
 
 @register("nationalities_by_airport")
 def _(spark, sf):
-    ports = b.ports(spark, sf)
-    rows = b.clean(spark, sf, "cicid", "i94yr", "i94mon", *PLACE_COLUMNS, "depdate", "admnum", "i94mode", "fltno")
-    lean = facts.fact_immigrations(rows.withColumn("airline", F.lit("")), b.countries(spark, sf), ports)
-    return answers.nationalities_by_airport(lean, dimensions.dim_airports(ports))
+    return answers.nationalities_by_airport(fact(spark, sf), dimensions.dim_airports(b.ports(spark, sf)))
 
 
 @register("nationalities_from_extract")
 def _(spark, sf):
-    rows = b.clean(spark, sf, *PLACE_COLUMNS)
-    return answers.nationalities_from_extract(rows, b.countries(spark, sf), b.ports(spark, sf))
+    counted = b.place_counts(spark, sf)
+    return answers.by_airport(answers.known_places(counted, b.countries(spark, sf), b.ports(spark, sf)))
 
 
 @register("star_sql")
@@ -546,7 +543,8 @@ def _(spark, sf):
 
 @register("clean_admissions_extract")
 def _(spark, sf):
-    return staging.clean_admissions_extract(staged(spark, sf))
+    sources = staging.Staged(b.crossings(spark, sf), b.raw_ports(spark, sf), b.countries(spark, sf), b.iso(spark, sf))
+    return staging.clean_admissions_extract(sources)
 
 
 @register("dim_admissions")

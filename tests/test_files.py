@@ -95,6 +95,7 @@ def test_csv_extract(spark):
 def test_iso_list_keeps_na_and_drops_padding(spark):
     path = workspace(spark)
     os.makedirs(path)
+    # Two lines as published, after the columns' names.
     lines = [
         ",".join(ISO.names),
         'Namibia,NA,NAM,516,ISO 3166-2:NA,Africa,Sub-Saharan Africa,"",002,202,""',
@@ -172,11 +173,11 @@ def test_changed_months_are_rebuilt_and_others_kept(spark, lists):
     write_extract(spark, f"{root}/a", "i94_jan16_sub.parquet", january)
     write_extract(spark, f"{root}/a", "i94_dec15_sub.parquet", [extract_row(3, 2015, 12, 20440.0)])
     assert update() == [("2015-12-3", 1960), ("2016-1-1", 1960), ("2016-1-2", 1960)]
-    kept = {f for f in os.listdir(f"{out}/extract_year=2015/extract_month=12")}
+    kept = {f for f in os.listdir(f"{out}/immigrations/extract_year=2015/extract_month=12")}
 
     write_extract(spark, f"{root}/b", "i94_jan16_sub.parquet", [extract_row(2, 2016, 1, 20453.0, left=20460.0)])
     assert update() == [("2015-12-3", 1960), ("2016-1-2", 2016)]
-    assert {f for f in os.listdir(f"{out}/extract_year=2015/extract_month=12")} == kept
+    assert {f for f in os.listdir(f"{out}/immigrations/extract_year=2015/extract_month=12")} == kept
 
     # Nothing new changes nothing; a month whose rows all drop out leaves none behind.
     assert update() == [("2015-12-3", 1960), ("2016-1-2", 2016)]

@@ -76,7 +76,7 @@ def skewed(spark):
 def test_spread_join_keeps_every_row(skewed, rows_per_task):
     facts, codes = skewed
     expected = rows(facts.join(codes, facts["port"] == codes["code"]))
-    spread = joins.join_lookup(facts, codes, "port", "code", limit=-1, rows_per_task=rows_per_task)
+    spread = joins.spread_join(facts, codes, "port", "code", "id", rows_per_task)
     assert spread.columns == ["id", "port", "code", "name"]
     assert rows(spread) == expected
 
@@ -87,12 +87,26 @@ def test_frequent_keys_are_spread_by_their_count(skewed):
     assert rows(frequent) == Counter([("HOT", 4)])
 
 
-def test_lookup_is_measured(spark, skewed):
+def test_hot_rows_that_carry_only_an_id_reach_several_tasks(spark, skewed):
     facts, codes = skewed
-    assert 0 < joins.lookup_bytes(codes) < 10_000
-    assert joins.lookup_bytes(codes.where("code = 'none'")) == 0
-    plan = joins.join_lookup(facts, codes, "port", "code")._jdf.queryExecution().optimizedPlan().toString()
-    assert "strategy=broadcast" in plan
+    forced = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {name: spark.conf.get(name) for name in forced}
+    for name, value in forced.items():
+        spark.conf.set(name, value)
+    try:
+        joined = joins.spread_join(facts, codes, "port", "code", "id", 100)
+        hot = joined.where("port = 'HOT'").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert len(hot) > 3
+
+
+def test_rows_without_an_id_are_not_spread(skewed):
+    facts, codes = skewed
+    for name in ("missing", "port"):
+        with pytest.raises(ValueError, match=name):
+            joins.spread_join(facts, codes, "port", "code", name, 100)
 
 
 def test_time_has_one_row_a_day(spark):

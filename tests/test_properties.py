@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from landfall.functions import dates, text
 from landfall.operators.clean import clean_ports
-from landfall.operators.joins import join_lookup
+from landfall.operators.joins import spread_join
 from landfall.schemas import RAW_PORTS
 
 few = settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -53,6 +53,6 @@ def test_days_equal_python_dates(spark, days):
 def test_spread_join_equals_nested_loops(spark, keys, codes, rows_per_task):
     facts = spark.createDataFrame(list(enumerate(keys)), "id INT, k INT")
     lookup = spark.createDataFrame(list(enumerate(codes)), "pos INT, code INT")
-    joined = join_lookup(facts, lookup, "k", "code", limit=-1, rows_per_task=rows_per_task)
+    joined = spread_join(facts, lookup, "k", "code", "id", rows_per_task)
     expected = Counter((i, k, p, c) for i, k in enumerate(keys) for p, c in enumerate(codes) if k == c)
     assert Counter(map(tuple, joined.collect())) == expected

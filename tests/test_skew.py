@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from landfall.catalog import bindings as b
 from landfall.catalog.oracle import SQL
 from landfall.catalog.queries import QUERIES
-from landfall.operators.joins import join_fact_port
+from landfall.operators.joins import spread_join
 from landfall.session import workspace
 from tests.comparing import SF_DIR, TABLES, assert_same
 
@@ -68,6 +68,6 @@ def test_hot_order_is_split_at_run_time(spark, skewed_dir, forced):
 
 def test_hot_port_is_spread_before_the_join(spark, skewed_dir):
     rows = b.clean(spark, skewed_dir, "cicid", "i94port")
-    joined = join_fact_port(rows, b.ports(spark, skewed_dir), limit=-1, rows_per_task=100)
+    joined = spread_join(rows, b.ports(spark, skewed_dir), "i94port", "i94_port", "cicid", 100)
     hot = joined.where(F.col("i94port") == f"P{HOT}")
     assert hot.count() == rows.where(F.col("i94port") == f"P{HOT}").count() > 1500

@@ -38,6 +38,12 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
             first = last
 
 
+def pieces(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[pa.Array]:
+    """A text column in slices, as ``slices`` makes them."""
+    batch = pa.RecordBatch.from_arrays([as_array(column)], ["text"])
+    return (part.column("text") for part in slices(iter([batch]), "text", limit))
+
+
 def flat(column, ending: str = "") -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts in a row and where each text starts, each followed by ``ending``; null is empty."""
     texts = pc.fill_null(as_array(column), "").cast(pa.large_string())

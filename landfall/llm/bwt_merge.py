@@ -9,7 +9,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from landfall.llm.arrays import BYTE_VALUES, flat, slices
 from landfall.llm.repeats import bounds_of, covered_ranges, mask_of, unpacked, with_ranges
@@ -168,16 +167,12 @@ def cut_documents(docs: DataFrame) -> DataFrame:
     of = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found = _byte_ranges(of).select(F.col("doc_id").alias(key), F.col("ranges").alias(name))
     joined = rows.join(found, F.col("doc_id") == F.col(key), "left").drop(key)
-    at = rows.columns.index("text")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            texts = []
-            for text, ranges_ in zip(batch.column("text").to_pylist(), batch.column(name).to_pylist()):
-                texts.append(_cut(text.encode(), ranges_)[0].decode("utf-8", "ignore") if ranges_ else text)
-            columns = list(batch.columns[:-1])
-            columns[at] = pa.array(texts, columns[at].type)
-            yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:-1])
-
-    cut = joined.mapInArrow(run, T.StructType(rows.schema.fields))
-    return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else cut
+    def cut(text: pa.Array, found: pa.Array) -> pa.Array:
+        pairs = zip(text.to_pylist(), found.to_pylist())
+        return pa.array([_cut(t.encode(), r)[0].decode("utf-8", "ignore") if r else t for t, r in pairs], pa.string())
+
+    rows = joined.withColumn("text", F.arrow_udf(cut, "string")(F.col("text"), F.col(name))).drop(name)
+    if "n_chars" in docs.columns:
+        rows = rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return rows.select(*docs.columns)

@@ -11,8 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from landfall.llm.arrays import LOWER, Rolling, flat, ranges, slices, token_hashes, word_bounds, word_hashes
-from landfall.llm.tables import free_name
+from landfall.llm.arrays import LOWER, Rolling, flat, pieces, ranges, slices, token_hashes, word_bounds, word_hashes
 
 K1, B = 1.2, 0.75
 # A passage is looked at more closely if its BM25 score for an item is at least this part of the item's own.
@@ -222,19 +221,24 @@ def with_hits(docs: DataFrame, items: DataFrame, name: str = "benchmark_hits") -
     the document.  Null and empty texts have no hits; repeated rows are kept; other
     columns are kept, but one called ``name`` is replaced.
     """
-    spark = docs.sparkSession
+    rows = docs.drop(name).withColumn("text", F.col("text").cast("string")).withColumn(name, F.array().cast(HIT_TYPE))
+    for held in _indexes(items):
+        rows = _one_index(rows, held)
+    return rows
+
+
+def _indexes(items: DataFrame) -> Iterator:
+    """Indexes of all items, each of about ``INDEX_BYTES`` of text, sent to the executors."""
+    spark = items.sparkSession
     items = items.where("item_id is not null and text is not null").select(
         F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text")
     )
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     shards = max(1, -(-size // INDEX_BYTES))
-    rows = docs.drop(name).withColumn("text", F.col("text").cast("string")).withColumn(name, F.array().cast(HIT_TYPE))
     for shard in range(shards):
         own = items.where(F.pmod(F.xxhash64("item_id"), F.lit(shards)) == shard).orderBy("item_id", "text").toPandas()
         own = own[own["text"].str.strip(" \t\n\v\f\r") != ""]
-        held = spark.sparkContext.broadcast(Index(own["item_id"].tolist(), own["text"].tolist()))
-        rows = _one_index(rows, held)
-    return rows
+        yield spark.sparkContext.broadcast(Index(own["item_id"].tolist(), own["text"].tolist()))
 
 
 def _one_index(rows: DataFrame, held) -> DataFrame:
@@ -256,5 +260,14 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def decontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``docs`` without the rows in which an item is found."""
-    name = free_name(docs, "hits")
-    return with_hits(docs, items, name).where(F.size(name) == 0).select(*docs.columns)
+    for held in _indexes(items):
+        docs = docs.where(_without_hits(held)(F.col("text").cast("string")))
+    return docs
+
+
+def _without_hits(held):
+    def clean(text: pa.Array) -> pa.Array:
+        # Only the texts go to Python, and one answer a row comes back.
+        return pa.array([not hits for part in pieces(text) for hits in _hits(part, held.value)], pa.bool_())
+
+    return F.arrow_udf(clean, "boolean")

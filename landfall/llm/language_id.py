@@ -10,10 +10,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from landfall.llm.arrays import flat, slices
-from landfall.llm.tables import free_name, held_out, learnable, share_of_hash
+from landfall.llm.arrays import flat, pieces, slices
+from landfall.llm.tables import held_out, learnable, share_of_hash
 
 # Bounds of what is learned from: documents of a language, characters of one of them,
 # symbols of a language in all, languages, and letters told apart.
@@ -24,7 +23,7 @@ LANGUAGES = 64
 LETTERS = 62
 # Texts are parsed in stretches of so many symbols, each starting a new phrase.
 STRETCH = 1_024
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 UNKNOWN = "und"
 # A text that costs more bits a symbol than naming each of the letters would is in none of the languages.
 MOST_BITS = float(np.log2(LETTERS + 2))
@@ -237,17 +236,16 @@ def in_a_language(docs: DataFrame) -> DataFrame:
     Languages are learned from ``lang`` of ``docs`` itself; if none is known, all rows stay that have a letter.
     """
     held = docs.sparkSession.sparkContext.broadcast(learn(docs))
-    name = free_name(docs, "in_a_language")
-    rows = docs.withColumn("text", F.col("text").cast("string"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", SLICE_BYTES):
-            names, _, bits = _predict(batch.column("text"), held.value)
+    def kept(text: pa.Array) -> pa.Array:
+        found = []
+        for part in pieces(text, SLICE_BYTES):
             if held.value.names:
-                kept = pa.array([n != UNKNOWN for n in names], pa.bool_()).to_numpy(zero_copy_only=False) & (bits <= MOST_BITS)
+                names, _, bits = _predict(part, held.value)
+                found += [n != UNKNOWN and b <= MOST_BITS for n, b in zip(names, bits.tolist())]
             else:
-                kept = np.array([any(map(str.isalpha, t or "")) for t in batch.column("text").to_pylist()], bool)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(kept)], [*batch.schema.names, name])
+                found += [any(map(str.isalpha, t or "")) for t in part.to_pylist()]
+        return pa.array(found, pa.bool_())
 
-    kinds = T.StructType([*rows.schema.fields, T.StructField(name, T.BooleanType())])
-    return rows.mapInArrow(run, kinds).where(F.col(name)).select(*docs.columns)
+    # Only the texts go to Python, and one answer a row comes back.
+    return docs.where(F.arrow_udf(kept, "boolean")(F.col("text").cast("string")))

@@ -110,7 +110,7 @@ def main() -> None:
     queries = {name: best(name, lambda query=QUERIES[name]: drain(query(spark, sf_dir))) for name in HEADLINE}
     months_in = staged(spark, sf_dir)
     queries["run_all_months"] = best(
-        "run_all_months", lambda: run_all_months(spark, months_in, workspace(spark), "bench").collect()
+        "run_all_months", lambda: run_all_months(spark, months_in, workspace(spark), "bench", grouped_by_month=True).collect()
     )
     compared = {name: best(name, action) for name, action in twins(spark, sf_dir).items()}
     scale = re.search(r"sf([\d.]+)", sf_dir)

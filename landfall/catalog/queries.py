@@ -612,7 +612,9 @@ def _(spark, sf):
 
 @register("run_all_months")
 def _(spark, sf):
-    return months.run_all_months(spark, staged(spark, sf), workspace(spark), writers.run_stamp(RUN_START))
+    # The extracts are monthly and the lists short, so the fact's tasks have rows of few months each.
+    stamp = writers.run_stamp(RUN_START)
+    return months.run_all_months(spark, staged(spark, sf), workspace(spark), stamp, grouped_by_month=True)
 
 
 # Beyond the star: what the joins drop, and updates

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -10,7 +12,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # What one slice may hold; a longer text is a slice of its own.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 U64 = np.uint64
 SPACE = np.zeros(256, bool)
@@ -36,6 +38,14 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
             last = max(first + 1, int(np.searchsorted(total, done + limit, "right")))
             yield batch.slice(first, last - first)
             first = last
+    give_back()
+
+
+def give_back() -> None:
+    """Returns freed memory to the system at the end of a task: workers are kept for the tasks of later stages."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def pieces(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[pa.Array]:
@@ -84,7 +94,7 @@ def _powers(base: int, size: int) -> np.ndarray:
 
 
 def _room(size: int) -> int:
-    return 1 << max(21, int(size).bit_length())
+    return 1 << max(20, int(size).bit_length())
 
 
 class Rolling:

@@ -28,7 +28,7 @@ PIECE = 1 << 22
 # Grams with more spans than this are compared by window hashes, counted before they are shuffled.
 CLASS_SPANS = 20_000
 # Spans that a task compares among themselves before it hands them on.
-HELD_SPANS = 1 << 19
+HELD_SPANS = 1 << 18
 
 
 def spans(values: np.ndarray, offsets: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, ...]:
@@ -115,7 +115,7 @@ def _settled(held: list[tuple], earlier_only: bool) -> pa.RecordBatch:
     # Spans share no window, so the last of one and the first of the next are neighbours or apart.
     new[1:] = (d[1:] != d[:-1]) | (f[1:] > f[:-1] + w[:-1])
     begin = np.flatnonzero(new)
-    end = np.append(begin[1:], len(d)) - 1
+    end = np.append(begin[1:], len(d))[: len(begin)] - 1
     run_first, run_n = f[begin], f[end] + w[end] - f[begin]
     own = mixed(d[begin].astype(U64) * U64(0x9E3779B97F4A7C15) + run_first.astype(U64))
     columns = [

@@ -1,4 +1,4 @@
-"""Benchmark items found in documents: BM25 with block-max bounds, then word overlap of question and answer."""
+"""Benchmark items found in documents: BM25 with block-max bounds, then overlap of word shingles."""
 
 from __future__ import annotations
 
@@ -21,8 +21,9 @@ BLOCK_ITEMS = 2
 COMMON_SCORE = 0.05
 SHINGLE_WORDS = 5
 LEAST_OVERLAP = 0.8
-# The last part of an item's words, its answer, is compared apart from the rest.
+# The last part of an item's words, its answer, is also reported apart from the rest.
 ANSWER_PART = 0.25
+OVERLAPS = ("overlap", "question", "answer")
 # Bytes of item texts in one index; more items make more indexes, each for a pass of its own.
 INDEX_BYTES = 32 << 20
 SUMS = 1 << 22
@@ -79,6 +80,10 @@ class Index:
         self.heads = np.zeros(1 << 20, bool)
         self.heads[(self.terms >> np.uint64(44)).astype(np.int64)] = True
         self.parts = [_item_parts(text) for text in texts]
+        keys, at = term * len(ids) + item, [np.searchsorted(self.terms, token_hashes(_words(t))[0]) for t in texts]
+        left = [self._score_left(k, t, weight[np.searchsorted(keys, at[k] * len(ids) + k)]) for k, t in enumerate(texts)]
+        # What a passage has to score, so that none with enough shingles of an item is passed over.
+        self.least = min([LEAST_SCORE, *left]) - 1e-9
 
     def _set_common_terms_apart(self, term: np.ndarray, item: np.ndarray, weight: np.ndarray) -> None:
         """Marks terms that need not be looked at for bounds: with all of them no item gains more than ``slack``."""
@@ -92,6 +97,12 @@ class Index:
         self.telling = rank >= limit
         self.slack = float(within[~too_much].max(initial=0.0)) if len(within) else 0.0
 
+    def _score_left(self, item: int, text: str, weight: np.ndarray) -> float:
+        """What is left of an item's score when each shingle that may be missing takes one word with it, the heaviest first."""
+        _, firsts = token_hashes(_words(text))
+        heaviest = np.sort(np.diff(np.concatenate([[0.0], np.cumsum(weight)])[firsts]))[::-1]
+        return 1 - float(heaviest[: int((1 - LEAST_OVERLAP) * len(self.parts[item][0]) + 1e-9)].sum())
+
     def known(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which of the tokens are terms, and the terms they are."""
         maybe = np.flatnonzero(self.heads[(hashes >> np.uint64(44)).astype(np.int64)])
@@ -106,19 +117,22 @@ def _shingles(text: str | None) -> np.ndarray:
     return Rolling(words).every(min(SHINGLE_WORDS, max(1, len(words)))) if len(words) else words
 
 
-def _item_parts(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingles of the question and of the answer of an item, its last quarter; all of it for both if it is short."""
-    words = text.split()
+def _words(text: str) -> pa.Array:
+    return pa.array(sorted(set(text.split())), pa.string())
+
+
+def _item_parts(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct shingles of an item, of its question and of its answer, the last quarter; all of it for each if it is short."""
+    words, whole = text.split(), np.unique(_shingles(text))
     answer = max(SHINGLE_WORDS, round(len(words) * ANSWER_PART))
     if len(words) < answer + SHINGLE_WORDS:
-        both = np.unique(_shingles(text))
-        return both, both
+        return whole, whole, whole
     cut = len(words) - answer
-    return np.unique(_shingles(" ".join(words[:cut]))), np.unique(_shingles(" ".join(words[cut:])))
+    return whole, np.unique(_shingles(" ".join(words[:cut]))), np.unique(_shingles(" ".join(words[cut:])))
 
 
 def _passage_hits(hashes: np.ndarray, firsts: np.ndarray, index: Index) -> dict[tuple[int, int], float]:
-    """Best score of each pair of text and item that a passage brings to ``LEAST_SCORE``.
+    """Best score of each pair of text and item that a passage brings to ``index.least``.
 
     A passage is two halves next to each other.  Bounds fall from step to step: the best a
     term can do anywhere, the best it can do in a block of items, and its weight.
@@ -141,7 +155,7 @@ def _passage_hits(hashes: np.ndarray, firsts: np.ndarray, index: Index) -> dict[
         both[:-1][same[:-1]] += sums[1:][same[:-1]]
         return both
 
-    passages = np.flatnonzero(joined(np.bincount(half, index.most[term], n)) >= LEAST_SCORE - index.slack)
+    passages = np.flatnonzero(joined(np.bincount(half, index.most[term], n)) >= index.least - index.slack)
     starts, all_starts = (np.searchsorted(h, np.arange(n + 2)) for h in (half, every_half))
     found: dict[tuple[int, int], float] = {}
     some = max(1, SUMS // max(1, index.n_blocks))
@@ -150,7 +164,7 @@ def _passage_hits(hashes: np.ndarray, firsts: np.ndarray, index: Index) -> dict[
         rows, own = _terms_of(part, part + 1 + same[part], starts, term, len(index.terms))
         which, block, most = index.blocks.expanded(own)
         bound = np.bincount(rows[which] * index.n_blocks + block, most, len(part) * index.n_blocks)
-        open_ = bound >= LEAST_SCORE - index.slack - 1e-9
+        open_ = bound >= index.least - index.slack - 1e-9
         if not open_.any():
             continue
         live = np.unique(np.flatnonzero(open_) // index.n_blocks)
@@ -160,7 +174,7 @@ def _passage_hits(hashes: np.ndarray, firsts: np.ndarray, index: Index) -> dict[
         keep = open_[rows[which] * index.n_blocks + item // BLOCK_ITEMS]
         pairs, inverse = np.unique(rows[which][keep] * len(index.ids) + item[keep], return_inverse=True)
         score = np.bincount(inverse, weight[keep], len(pairs))
-        for pair, s in zip(pairs[score >= LEAST_SCORE].tolist(), score[score >= LEAST_SCORE].tolist()):
+        for pair, s in zip(pairs[score >= index.least].tolist(), score[score >= index.least].tolist()):
             place = (int(owner[part[pair // len(index.ids)]]), pair % len(index.ids))
             found[place] = max(s, found.get(place, 0.0))
     return found
@@ -191,34 +205,26 @@ def _hits(column, index: Index) -> list[list[dict]]:
     for (doc, item), score in sorted(_passage_hits(hashes, firsts, index).items()):
         if doc != last:
             held, last = np.unique(_shingles(column[doc].as_py())), doc
-        question, answer = (float(np.isin(part, held).mean()) if len(part) else 0.0 for part in index.parts[item])
-        if question >= LEAST_OVERLAP and answer >= LEAST_OVERLAP:
-            hits[doc].append({"item_id": int(index.ids[item]), "score": score, "question": question, "answer": answer})
+        overlaps = [float(np.isin(part, held).mean()) if len(part) else 0.0 for part in index.parts[item]]
+        if overlaps[0] >= LEAST_OVERLAP:
+            hits[doc].append({"item_id": int(index.ids[item]), "score": score, **dict(zip(OVERLAPS, overlaps))})
     return hits
 
 
 HIT_TYPE = T.ArrayType(
-    T.StructType(
-        [
-            T.StructField("item_id", T.LongType()),
-            T.StructField("score", T.DoubleType()),
-            T.StructField("question", T.DoubleType()),
-            T.StructField("answer", T.DoubleType()),
-        ]
-    )
-)
-HIT_ARROW = pa.list_(
-    pa.struct([("item_id", pa.int64()), ("score", pa.float64()), ("question", pa.float64()), ("answer", pa.float64())])
+    T.StructType([T.StructField("item_id", T.LongType()), *(T.StructField(n, T.DoubleType()) for n in ("score", *OVERLAPS))])
 )
+HIT_ARROW = pa.list_(pa.struct([("item_id", pa.int64()), *((n, pa.float64()) for n in ("score", *OVERLAPS))]))
 
 
 def with_hits(docs: DataFrame, items: DataFrame, name: str = "benchmark_hits") -> DataFrame:
     """``docs`` with a last column ``name``: the items found in the whole text, with BM25 score and overlaps.
 
     ``items`` has ``item_id`` and ``text``; those with a null id or no word are never found.
-    Passages of every text are queries to the index; of those with at least half the
-    item's own score, 0.8 of the five-word shingles of question and answer must be in
-    the document.  Null and empty texts have no hits; repeated rows are kept; other
+    Passages of every text are queries to the index; where one has at least half the
+    item's own score, 0.8 of the distinct five-word shingles of the whole item must be
+    in the document.  The half is lowered for all items if a copy of one could score less.
+    Overlaps of question and answer are told, but decide nothing.  Null and empty texts have no hits; repeated rows are kept; other
     columns are kept, but one called ``name`` is replaced.
     """
     rows = docs.drop(name).withColumn("text", F.col("text").cast("string")).withColumn(name, F.array().cast(HIT_TYPE))
@@ -253,7 +259,7 @@ def _one_index(rows: DataFrame, held) -> DataFrame:
 
 
 def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """One row for each document and item found in it: ``doc_id``, ``item_id``, ``score``, ``question``, ``answer``."""
+    """One row for each document and item found in it: ``doc_id``, ``item_id``, ``score``, ``overlap``, ``question``, ``answer``."""
     rows = with_hits(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), items, "hits")
     return rows.select("doc_id", F.explode("hits").alias("hit")).select("doc_id", "hit.*")
 

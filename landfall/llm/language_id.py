@@ -11,11 +11,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landfall.llm.arrays import flat, pieces, slices
+from landfall.llm.arrays import flat, pieces, ranges, slices
 from landfall.llm.tables import held_out, learnable, share_of_hash
 
 # Bounds of what is learned from: documents of a language, characters of one of them,
-# symbols of a language in all, languages, and letters told apart.
+# letters of a language in all, languages, and letters that are a symbol of their own; if
+# there are more, the others are spelled as their UTF-8 bytes.
 SAMPLE_DOCS = 64
 PIECE_CHARS = 1_000
 TRAIN_SYMBOLS = 32_768
@@ -106,23 +107,54 @@ class Languages:
         self.names = sorted(texts)
         self.texts = [texts[name] for name in self.names]
 
-    def tables(self) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, int]:
+    def tables(self) -> tuple[Alphabet, list[np.ndarray], np.ndarray, int]:
         return _tables(tuple(self.texts))
 
 
+class Alphabet:
+    """Symbols of letters: the most frequent have one each, the others one for each byte, if any of them is labelled.
+
+    The last symbol is for what is in no labelled text.
+    """
+
+    def __init__(self, letters: Counter):
+        known = sorted(sorted(letters), key=lambda c: -letters[c])
+        spelled = sorted(set("".join(known[LETTERS:]).encode()))
+        known = known[:LETTERS]
+        self.size = len(known) + len(spelled) + 2
+        self.symbol = np.full(0x110000, self.size - 1, np.uint8)
+        self.symbol[0] = 0
+        for k, char in enumerate(known, 1):
+            self.symbol[ord(char)] = k
+        self.byte = np.full(256, self.size - 1, np.uint8)
+        self.byte[spelled] = np.arange(len(known) + 1, self.size - 1)
+        self.spells = bool(spelled)
+
+    def symbols(self, letters: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols of all texts in a row, and where each text starts, with the end."""
+        symbols = self.symbol[letters]
+        rest = symbols == self.size - 1
+        if not self.spells or not rest.any():
+            return symbols, starts
+        points = letters[rest]
+        counts = np.ones(len(letters), np.int64)
+        counts[rest] = 1 + (points >= 0x80) + (points >= 0x800) + (points >= 0x10000)
+        place = np.concatenate([[0], np.cumsum(counts)])
+        out = np.repeat(symbols, counts)
+        held = np.frombuffer(points.astype("<u4").tobytes().decode("utf-32-le").encode(), np.uint8)
+        out[ranges(place[:-1][rest], counts[rest])] = self.byte[held]
+        return out, place[starts]
+
+
 @lru_cache(maxsize=1)
 def _tables(texts: tuple[str, ...]):
     counts = Counter("".join(texts))
     counts.pop("\0", None)
-    known = sorted(sorted(counts), key=lambda c: -counts[c])[:LETTERS]
-    alphabet = len(known) + 2
-    symbol = np.full(0x110000, alphabet - 1, np.uint8)
-    symbol[0] = 0
-    for k, char in enumerate(known, 1):
-        symbol[ord(char)] = k
-    trained = [symbol[np.frombuffer(t.encode("utf-32-le"), np.uint32)].tolist() for t in texts]
+    alphabet = Alphabet(counts)
+    letters = [np.frombuffer(t.encode("utf-32-le"), np.uint32) for t in texts]
+    trained = [alphabet.symbols(own, np.zeros(1, np.int64))[0].tolist() for own in letters]
     bits = np.log2([max(2, len(t)) for t in trained])
-    return symbol, [parsing_table(t, alphabet) for t in trained], bits, alphabet
+    return alphabet, [parsing_table(t, alphabet.size) for t in trained], bits, alphabet.size
 
 
 def phrases(symbols: np.ndarray, starts: np.ndarray, lengths: np.ndarray, table: np.ndarray) -> np.ndarray:
@@ -143,10 +175,12 @@ def phrases(symbols: np.ndarray, starts: np.ndarray, lengths: np.ndarray, table:
 
 
 def _predict(column, languages: Languages) -> tuple[list[str], np.ndarray, np.ndarray]:
-    symbol, tables, bits, _ = languages.tables()
+    alphabet, tables, bits, _ = languages.tables()
     data, offsets = flat(column)
     letters, starts = letters_of(data, offsets)
-    symbols = symbol[letters]
+    wordy = np.concatenate([[0], np.cumsum(letters != 0)])
+    some = (wordy[starts[1:]] - wordy[starts[:-1]]) > 0
+    symbols, starts = alphabet.symbols(letters, starts)
     sizes = np.diff(starts)
     parts = -(-sizes // STRETCH)
     owner = np.repeat(np.arange(len(sizes)), parts)
@@ -158,8 +192,6 @@ def _predict(column, languages: Languages) -> tuple[list[str], np.ndarray, np.nd
     for k, table in enumerate(tables):
         ended = phrases(symbols, first[order], length[order], table)
         code[k] = np.bincount(owner[order], ended, len(sizes)) * bits[k]
-    wordy = np.concatenate([[0], np.cumsum(letters != 0)])
-    some = (wordy[starts[1:]] - wordy[starts[:-1]]) > 0
     if not len(tables):
         return [UNKNOWN] * len(sizes), np.zeros(len(sizes)), np.zeros(len(sizes))
     best = code.argmin(axis=0)
@@ -210,7 +242,7 @@ def languages_of(docs: DataFrame, learned_from: DataFrame | None = None) -> Data
     The whole text is parsed, for each language, into the longest stretches found in its
     labelled text; the language with the fewest phrases, each at the cost of a place
     in that text, wins, the first by name of equal ones.  ``bits`` is that cost for each
-    symbol.  Texts that are null, empty or without a letter are ``und`` with score 0, as are
+    symbol, a letter or one byte of a rare one.  Texts that are null, empty or without a letter are ``und`` with score 0, as are
     all if no language is known.  A null doc_id is predicted, never learned from; repeated
     rows give repeated rows; other columns do not matter.
     """

@@ -1,6 +1,12 @@
 """Results that a part of the work would miss."""
 
+import random
+
+import pyarrow as pa
+
 from landfall.llm.decontaminate import contaminated
+from landfall.llm.language_id import MOST_BITS, Languages, _predict, letters_of
+from landfall.llm.arrays import flat
 
 WORDS = [f"w{k}" for k in range(28)]
 
@@ -22,3 +28,27 @@ def test_a_longer_item_is_found_with_one_word_changed_at_every_place(spark):
     items = spark.createDataFrame([(1, " ".join(words))], "item_id bigint, text string")
     found = contaminated(spark.createDataFrame(copies, "doc_id bigint, text string"), items).collect()
     assert sorted(r["doc_id"] for r in found) == list(range(40))
+
+
+def invented(seed, letters, words=300, chars=2):
+    """A text over a vocabulary of its own."""
+    pick = random.Random(seed)
+    own = ["".join(pick.choice(letters) for _ in range(pick.randint(1, chars))) for _ in range(words)]
+    return lambda n: " ".join(pick.choice(own) for _ in range(n))
+
+
+def test_languages_of_many_letters_are_told_apart_and_kept():
+    texts = {
+        "en": invented(1, "abcdefghijklmnopqrstuvwxyz", chars=7),
+        "el": invented(2, "αβγδεζηθικλμνξοπρστυφχψω", chars=7),
+        "ru": invented(3, "абвгдежзийклмнопрстуфхцчшщъыьэюя", chars=7),
+        "ja": invented(4, [chr(0x3041 + k) for k in range(80)] + [chr(0x4E00 + 7 * k) for k in range(200)], chars=4),
+        "zh": invented(5, [chr(0x4E00 + 11 * k) for k in range(900)], chars=4),
+    }
+    learned = {}
+    for name, text in texts.items():
+        letters, _ = letters_of(*flat(pa.array([text(4000)])))
+        learned[name] = letters[:32_768].astype("<u4").tobytes().decode("utf-32-le")
+    names, _, bits = _predict(pa.array([text(200) for text in texts.values()] + ["กขคฆงจฉชซ" * 20]), Languages(learned))
+    assert names[:5] == list(texts)
+    assert (bits[:5] <= MOST_BITS).all() and bits[5] > MOST_BITS

@@ -4,9 +4,10 @@ import random
 
 import pyarrow as pa
 
+from landfall.llm.arrays import flat
 from landfall.llm.decontaminate import contaminated
 from landfall.llm.language_id import MOST_BITS, Languages, _predict, letters_of
-from landfall.llm.arrays import flat
+from landfall.llm.simhash import one_of_each
 
 WORDS = [f"w{k}" for k in range(28)]
 
@@ -52,3 +53,29 @@ def test_languages_of_many_letters_are_told_apart_and_kept():
     names, _, bits = _predict(pa.array([text(200) for text in texts.values()] + ["กขคฆงจฉชซ" * 20]), Languages(learned))
     assert names[:5] == list(texts)
     assert (bits[:5] <= MOST_BITS).all() and bits[5] > MOST_BITS
+
+
+def test_near_copies_are_those_with_0_8_of_the_five_word_shingles(spark):
+    def shingles(text):
+        words = text.split()
+        return {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))}
+
+    pick = random.Random(6)
+    texts = []
+    for _ in range(40):
+        words = [f"v{pick.randrange(3000)}" for _ in range(pick.randint(20, 120))]
+        texts.append(" ".join(words))
+        for share in (0.01, 0.03, 0.05, 0.1):
+            changed = list(words)
+            for k in pick.sample(range(len(words)), max(1, int(share * len(words)))):
+                changed[k] = f"u{pick.randrange(3000)}"
+            texts.append(" ".join(changed))
+    sets = [shingles(t) for t in texts]
+    root = list(range(len(texts)))
+    for b in range(len(texts)):
+        for a in range(b):
+            if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+                old, new = max(root[a], root[b]), min(root[a], root[b])
+                root = [new if r == old else r for r in root]
+    kept = one_of_each(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()
+    assert sorted(r["doc_id"] for r in kept) == [k for k, r in enumerate(root) if r == k]

@@ -47,7 +47,7 @@ def roots(ids, linked):
 @pytest.mark.parametrize("name", list(SQL))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "embeddings"):
+    for table in ("documents", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '/root/testdata/sf0.001/{table}.parquet'")
     got = content(QUERIES[name](spark, "/root/testdata/sf0.001").toArrow())
     want = content(con.sql(SQL[name]).to_arrow_table())

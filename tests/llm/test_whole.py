@@ -7,7 +7,7 @@ import pyarrow as pa
 from landfall.llm.arrays import flat
 from landfall.llm.decontaminate import contaminated
 from landfall.llm.language_id import MOST_BITS, Languages, _predict, letters_of
-from landfall.llm.simhash import one_of_each
+from landfall.llm.simhash import one_of_each, simhash_classes
 
 WORDS = [f"w{k}" for k in range(28)]
 
@@ -55,27 +55,28 @@ def test_languages_of_many_letters_are_told_apart_and_kept():
     assert (bits[:5] <= MOST_BITS).all() and bits[5] > MOST_BITS
 
 
-def test_near_copies_are_those_with_0_8_of_the_five_word_shingles(spark):
-    def shingles(text):
-        words = text.split()
-        return {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))}
-
+def test_one_of_each_class_of_fingerprints_stays(spark):
     pick = random.Random(6)
-    texts = []
-    for _ in range(40):
-        words = [f"v{pick.randrange(3000)}" for _ in range(pick.randint(20, 120))]
-        texts.append(" ".join(words))
-        for share in (0.01, 0.03, 0.05, 0.1):
+    rows = []
+    for _ in range(30):
+        words = [f"v{pick.randrange(3000)}" for _ in range(pick.randint(150, 400))]
+        rows.append((len(rows), " ".join(words)))
+        for changes in (0, 1, 2, 8):
             changed = list(words)
-            for k in pick.sample(range(len(words)), max(1, int(share * len(words)))):
+            for k in pick.sample(range(len(words)), changes):
                 changed[k] = f"u{pick.randrange(3000)}"
-            texts.append(" ".join(changed))
-    sets = [shingles(t) for t in texts]
-    root = list(range(len(texts)))
-    for b in range(len(texts)):
-        for a in range(b):
-            if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
-                old, new = max(root[a], root[b]), min(root[a], root[b])
-                root = [new if r == old else r for r in root]
-    kept = one_of_each(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()
-    assert sorted(r["doc_id"] for r in kept) == [k for k, r in enumerate(root) if r == k]
+            rows.append((len(rows), " ".join(changed)))
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    classes = {r["doc_id"]: r["component_id"] for r in simhash_classes(frame).collect()}
+    kept = one_of_each(frame).collect()
+    assert sorted(r["doc_id"] for r in kept) == sorted(set(classes.values()))
+    assert 30 <= len(kept) < 100 and {r["text"] for r in kept} <= {t for _, t in rows}
+
+
+def test_two_texts_of_one_doc_id_stay_or_go_each_with_its_own_class(spark):
+    texts = ["alpha beta gamma delta epsilon zeta eta theta", "wholly other words stand in this second text here"]
+    rows = [(1, texts[0], "x"), (2, texts[0], "x"), (2, texts[1], "x"), (3, texts[1], "x"), (2, texts[1], "a"), (2, texts[1], "x")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, _id string")
+    kept = one_of_each(frame)
+    assert kept.columns == frame.columns
+    assert sorted(map(tuple, kept.collect())) == [(1, texts[0], "x"), (2, texts[1], "a")]

@@ -15,11 +15,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from landfall.llm.arrays import U64, Rolling, mixed, ranges, slices
+from landfall.llm.arrays import U64, Rolling, give_back, mixed, ranges, slices
 from landfall.llm.buckets import whole_groups
 from landfall.llm.tables import stored
 
@@ -27,6 +28,8 @@ from landfall.llm.tables import stored
 PIECE = 1 << 22
 # Grams with more spans than this are compared by window hashes, counted before they are shuffled.
 CLASS_SPANS = 20_000
+# Symbols of several classes that are compared at once; a larger class is compared alone.
+RESOLVED_BYTES = 1 << 20
 # Spans that a task compares among themselves before it hands them on.
 HELD_SPANS = 1 << 18
 
@@ -211,10 +214,23 @@ def _fetched(wanted: DataFrame, docs: DataFrame, take: Callable[[bytes], np.ndar
     return joined.mapInArrow(run, kinds)
 
 
+def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Whole classes, in sorted batches, with about ``RESOLVED_BYTES`` of symbols together."""
+    for table, starts in whole_groups(batches, ["gram"]):
+        sizes = pc.binary_length(table.column("symbols")).to_numpy()
+        done = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])[starts]
+        first = 0
+        while first < len(starts) - 1:
+            last = max(first + 1, int(np.searchsorted(done, done[first] + RESOLVED_BYTES, "right")) - 1)
+            yield table.slice(starts[first], starts[last] - starts[first])
+            first = last
+
+
 def _resolved(fetched: DataFrame, resolve: Resolve, window: int) -> DataFrame:
     """Ranges covered by repeated windows of classes of bounded size."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, _ in whole_groups(batches, ["gram"]):
+        for table in _portions(batches):
             docs, firsts, counts = (table.column(c).to_numpy() for c in ("doc_id", "first", "n"))
             row, at = resolve(table.column("symbols").to_pylist(), counts, docs)
             if not len(row):
@@ -227,6 +243,7 @@ def _resolved(fetched: DataFrame, resolve: Resolve, window: int) -> DataFrame:
             stop = firsts[row[begin]] + at[end] + window
             arrays = [docs[row[begin]], start.astype(np.int32), stop.astype(np.int32)]
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], ["doc_id", "start", "stop"])
+        give_back()
 
     cold = fetched.where("not large").select("gram", "doc_id", "first", "n", "symbols")
     return cold.repartition("gram").sortWithinPartitions("gram").mapInArrow(run, "doc_id bigint, start int, stop int")

@@ -32,7 +32,9 @@ SPACE = "▁"
 LONGEST = 48
 NEVER = np.iinfo(np.int64).max
 PAIRS_KEPT = 1 << 20
-UNIT_CACHE = 250_000
+UNIT_CACHE = 400_000
+# Text encoded at once: words of one length are searched together, so larger slices take fewer searches.
+SLICE_BYTES = 2 << 20
 # Ids decoded at once.
 DECODED_IDS = 1 << 18
 
@@ -332,7 +334,7 @@ def encode(docs: DataFrame, model: str | None = None) -> DataFrame:
     rows = docs.drop("ids").withColumn("text", F.col("text").cast("string"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE_BYTES):
             ids, counts = encode_column(batch.column("text"), path)
             yield pa.RecordBatch.from_arrays([*batch.columns, list_array(ids, counts)], [*batch.schema.names, "ids"])
 
@@ -365,7 +367,7 @@ def encoding_digest(docs: DataFrame, model: str | None = None) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE_BYTES):
             values, counts = encode_column(batch.column("text"), path)
             same = pc.equal(_coder(path)[0].decode(values, counts), pc.fill_null(batch.column("text"), ""))
             values, ends = values.astype("<u4"), np.cumsum(counts)

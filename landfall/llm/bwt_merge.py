@@ -16,8 +16,10 @@ from landfall.llm.tables import free_name
 
 WINDOW = 200
 GRAM = 100
-SHARD_BYTES = 1 << 20
-START_DEPTH = 8
+SHARD_BYTES = 1 << 18
+# A symbol of the transforms is so many bytes, of which the window is a multiple; the first of them are read at once.
+STEP = 20
+FIRST_BYTES = 5
 
 
 def byte_symbols(column) -> tuple[np.ndarray, np.ndarray]:
@@ -29,87 +31,105 @@ def _bytes_of(text: bytes) -> np.ndarray:
     return np.frombuffer(text, np.uint8)
 
 
-class Collection:
-    """Strings one after the other, each followed by an end that equals nothing, with an order of their suffixes.
+def numbers_of(data: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """For each place the ``STEP`` bytes from there on as one symbol: equal for equal bytes, and in their order.
 
-    ``order`` lists suffixes in order of their first ``depth`` bytes, ``new`` marks the first of each set of
-    equal ones (so the common prefix with the one before is shorter than ``depth``), ``transform``
-    is the byte before each: the Burrows-Wheeler transform to that depth.
+    ``cuts`` are the borders of shards; what is beyond the end of a shard is read from its start.
     """
 
-    def __init__(self, data: np.ndarray, ends: np.ndarray):
-        self.data = data
-        words = np.zeros(len(data), np.uint64)
-        for k in range(min(START_DEPTH, len(data))):
-            words[: len(data) - k] |= data[k:].astype(np.uint64) << np.uint64(8 * (START_DEPTH - 1 - k))
-        self.words = words
-        # Suffixes of at least START_DEPTH bytes; shorter ones equal nothing and have ranks of their own.
-        whole = np.ones(len(data), bool)
-        for k in range(START_DEPTH):
-            whole[np.maximum(ends - k, 0)] = False
-        self.whole = whole
-
-    def from_words(self, suffixes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        order = suffixes[np.argsort(self.words[suffixes], kind="stable")]
-        new = np.ones(len(order), bool)
-        new[1:] = self.words[order[1:]] != self.words[order[:-1]]
-        return order, new
-
-    def refined(self, order: np.ndarray, new: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-        """The order by ``depth`` bytes, from that by the first few.
-
-        A set of suffixes equal so far is told apart by the sets that hold what follows.  Where
-        the suffixes of each shard are in full order already, each set consists of a sorted
-        run for each shard, and the stable sort of a set only interleaves its runs.
-        """
-        rank = -1 - np.arange(len(self.data))
-        known = START_DEPTH
-        while known < depth:
-            sets = np.cumsum(new) - 1
-            rank[order] = sets
-            step = min(known, depth - known)
-            several = np.bincount(sets) > 1
-            open_ = np.flatnonzero(several[sets])
-            if not len(open_):
-                break
-            key = sets[open_] * (2 * len(self.data)) + rank[order[open_] + step] + len(self.data)
-            by = np.argsort(key, kind="stable")
-            order[open_], key = order[open_][by], key[by]
-            new[open_[1:]] |= key[1:] != key[:-1]
-            known += step
-        return order, new
-
-    def transform(self, order: np.ndarray) -> np.ndarray:
-        return self.data[order - 1]
-
-
-def shard_orders(strings: Collection, starts: np.ndarray, depth: int) -> list[np.ndarray]:
-    """The order of the suffixes of each shard, a stretch of whole strings of about ``SHARD_BYTES``."""
-    number = starts // SHARD_BYTES
-    cuts = np.append(starts[np.flatnonzero(np.diff(number, prepend=-1))], len(strings.data))
-    orders = []
-    for first, last in zip(cuts[:-1], cuts[1:]):
-        suffixes = first + np.flatnonzero(strings.whole[first:last])
-        orders.append(strings.refined(*strings.from_words(suffixes), depth)[0])
-    return orders
-
-
-def merged(strings: Collection, orders: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """One order from those of the shards: they are laid one after the other and interleaved by ever longer prefixes."""
-    order, new = strings.from_words(np.concatenate(orders))
-    return strings.refined(order, new, depth)
+    def further(values: np.ndarray, by: int) -> np.ndarray:
+        return np.concatenate([np.roll(values[a:b], -by) for a, b in zip(cuts[:-1], cuts[1:])])
+
+    def dense(values: np.ndarray) -> np.ndarray:
+        return np.unique(values, return_inverse=True)[1]
+
+    words = np.zeros(len(data), np.uint64)
+    for k in range(FIRST_BYTES):
+        words = words << np.uint64(8) | further(data, k)
+    numbers, length = dense(words), FIRST_BYTES
+    while length < STEP:
+        numbers = dense(numbers * len(data) + further(numbers, length))
+        length *= 2
+    return numbers.astype(np.int32)
+
+
+def by_symbol(symbols: np.ndarray) -> np.ndarray:
+    """The order of symbols, equal ones as they come, from one counting sort for each half of their bits."""
+    low = np.argsort(symbols.astype(np.uint16), kind="stable")
+    if symbols.max(initial=0) < 1 << 16:
+        return low
+    return low[np.argsort((symbols >> 16).astype(np.uint16)[low], kind="stable")]
+
+
+def _firsts(symbols: np.ndarray, sets: np.ndarray) -> np.ndarray:
+    """Where a sorted row of pairs has a new one."""
+    new = np.ones(len(symbols), bool)
+    new[1:] = (symbols[1:] != symbols[:-1]) | (sets[1:] != sets[:-1])
+    return new
+
+
+def transform(symbols: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """The places of a shard in order of their first ``depth`` bytes, and its Burrows-Wheeler transform: the symbol before each."""
+    order = by_symbol(symbols)
+    new = _firsts(symbols[order], np.zeros(len(order), np.int8))
+    for _ in range(depth // STEP - 1):
+        if new.all():
+            break
+        before = (order - STEP) % len(symbols)
+        symbol, sets = symbols[before], np.cumsum(new)
+        by = by_symbol(symbol)
+        order, new = before[by], _firsts(symbol[by], sets[by])
+    return order, symbols[(order - STEP) % len(symbols)]
+
+
+def merged(transforms: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """The interleave of shards in one order, from their transforms alone.
+
+    To begin with, shards follow one another.  Reading the transforms as they interleave and sorting what is read
+    by symbol, equal symbols as they come, gives the interleave for ``STEP`` bytes more: nothing is compared but
+    symbols, and each shard keeps its order.  Two neighbours have a common prefix of all bytes so far if
+    their symbols are equal and what follows these was in one set before.
+
+    Returns elements, numbered through the shards, in that order, and where each set of equal ones begins.
+    """
+    sizes = [len(t) for t in transforms]
+    symbols = np.concatenate(transforms)
+    interleave = np.repeat(np.arange(len(sizes), dtype=np.uint8 if len(sizes) <= 256 else np.uint32), sizes)
+    elements = np.arange(len(symbols), dtype=np.int32)
+    new = elements == 0
+    for _ in range(depth // STEP):
+        symbol, sets = symbols[elements], np.cumsum(new, dtype=np.int32)
+        by = by_symbol(symbol)
+        interleave, new = interleave[by], _firsts(symbol[by], sets[by])
+        elements[np.argsort(interleave, kind="stable")] = np.arange(len(symbols), dtype=np.int32)
+        if new.all():
+            break
+    return elements, new
 
 
 def _repeated(spans: list[bytes], counts: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Windows of the spans that another window equals."""
-    data = np.frombuffer(b"\0".join(spans) + b"\0", np.uint8)
-    sizes = counts + WINDOW
+    return repeated_windows(spans, WINDOW)
+
+
+def repeated_windows(strings: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray]:
+    """String and place of all stretches of ``window`` bytes, a multiple of ``STEP``, that are there more than once.
+
+    Shards are whole strings of about ``SHARD_BYTES`` together.
+    """
+    data = np.frombuffer(b"\0".join(strings) + b"\0", np.uint8)
+    sizes = np.fromiter(map(len, strings), np.int64, len(strings)) + 1
     starts = np.cumsum(sizes) - sizes
-    strings = Collection(data, starts + sizes - 1)
-    order, new = merged(strings, shard_orders(strings, starts, WINDOW), WINDOW)
-    # Windows are the suffixes with WINDOW bytes at least; shorter ones equal nothing at that depth.
-    alone = new & np.append(new[1:], True)
-    at = np.sort(order[~alone])
+    cuts = np.append(starts[np.flatnonzero(np.diff(starts // SHARD_BYTES, prepend=-1))], len(data))
+    symbols = numbers_of(data, cuts)
+    orders, transforms = zip(*(transform(symbols[a:b], window) for a, b in zip(cuts[:-1], cuts[1:])))
+    elements, new = merged(list(transforms), window)
+    place = np.concatenate([a + order for a, order in zip(cuts, orders)])[elements]
+    # What goes beyond the end of its string is no window, whatever it equals.
+    whole = place + window < (starts + sizes)[np.searchsorted(starts, place, "right") - 1]
+    sets = np.cumsum(new) - 1
+    several = np.bincount(sets[whole], minlength=sets[-1] + 1)[sets] > 1
+    at = np.sort(place[whole & several])
     row = np.searchsorted(starts, at, "right") - 1
     return row, at - starts[row]
 

@@ -13,7 +13,8 @@ from hypothesis import strategies as st
 
 import landfall.llm.repeats as repeats
 import landfall.llm.token_files as files
-from landfall.llm.bwt_merge import Collection, merged, repeat_digest, shard_orders
+from landfall.llm import bwt_merge as bwt
+from landfall.llm.bwt_merge import repeat_digest
 from landfall.llm.cap_filters import vector_classes
 from landfall.llm.catalog import QUERIES, SQL
 from landfall.llm.components import components
@@ -163,28 +164,40 @@ def test_repeats_by_comparing_all(spark, monkeypatch, class_spans):
     assert got == plain_repeats(docs)
 
 
-@settings(max_examples=40, deadline=None)
-@given(st.lists(st.binary(min_size=1, max_size=60).map(lambda b: bytes(97 + x % 2 for x in b)), min_size=1, max_size=8), st.integers(9, 30))
-def test_merged_transforms_are_those_of_all_suffixes(strings, depth):
-    import landfall.llm.bwt_merge as bwt
+BINARY = st.binary(min_size=1, max_size=90).map(lambda b: bytes(97 + x % 2 for x in b))
 
-    size = bwt.SHARD_BYTES
-    bwt.SHARD_BYTES = 50
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(BINARY, min_size=1, max_size=8), st.sampled_from([20, 40, 60]), st.sampled_from([30, 70, 1 << 18]))
+def test_windows_of_merged_transforms_are_those_that_repeat(strings, window, shard):
+    held, bwt.SHARD_BYTES = bwt.SHARD_BYTES, shard
     try:
-        data = np.frombuffer(b"\0".join(strings) + b"\0", np.uint8)
-        sizes = np.array([len(s) + 1 for s in strings])
-        starts = np.cumsum(sizes) - sizes
-        whole = Collection(data, starts + sizes - 1)
-        order, new = merged(whole, shard_orders(whole, starts, depth), depth)
+        row, at = bwt.repeated_windows(strings, window)
     finally:
-        bwt.SHARD_BYTES = size
-    cut = [data[p:].tobytes().split(b"\0")[0][:depth] for p in order]
-    full = [len(c) == depth for c in cut]
-    assert [c for c, f in zip(cut, full) if f] == sorted(c for c, f in zip(cut, full) if f)
-    for k in range(1, len(order)):
-        assert (not new[k]) == (full[k] and full[k - 1] and cut[k] == cut[k - 1])
-    assert len(order) == sum(max(0, len(s) - 7) for s in strings)
-    assert whole.transform(order).tolist() == [data[p - 1] for p in order]
+        bwt.SHARD_BYTES = held
+    seen = Counter(s[k : k + window] for s in strings for k in range(len(s) - window + 1))
+    want = [(i, k) for i, s in enumerate(strings) for k in range(len(s) - window + 1) if seen[s[k : k + window]] > 1]
+    assert list(zip(row.tolist(), at.tolist())) == want
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(BINARY, min_size=1, max_size=5), st.sampled_from([20, 40, 80]))
+def test_interleaved_transforms_are_one_order_of_all_rotations(shards, depth):
+    data = np.frombuffer(b"".join(shards), np.uint8)
+    cuts = np.cumsum([0, *map(len, shards)])
+    symbols = bwt.numbers_of(data, cuts)
+    rotation = [s[k:] + s[:k] for s in shards for k in range(len(s))]
+    first = [(r * 80)[:20] for r in rotation]
+    assert [sorted(set(first)).index(f) for f in first] == symbols.tolist()
+    parts = [bwt.transform(symbols[a:b], depth) for a, b in zip(cuts[:-1], cuts[1:])]
+    for (order, before), a in zip(parts, cuts):
+        assert before.tolist() == [symbols[a + (k - 20) % len(order)] for k in order.tolist()]
+    elements, new = bwt.merged([t for _, t in parts], depth)
+    place = np.concatenate([a + order for (order, _), a in zip(parts, cuts)])[elements]
+    cut = [(rotation[p] * 90)[:depth] for p in place]
+    assert cut == sorted(cut)
+    if not new.all():
+        assert [True, *(a != b for a, b in zip(cut, cut[1:]))] == new.tolist()
 
 
 @settings(max_examples=60, deadline=None)

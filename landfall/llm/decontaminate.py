@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landfall.llm.arrays import LOWER, Rolling, flat, pieces, ranges, slices, token_hashes, word_bounds, word_hashes
+from landfall.llm.tables import stored
 
 K1, B = 1.2, 0.75
 # A passage is looked at more closely if its BM25 score for an item is at least this part of the item's own.
@@ -50,10 +51,24 @@ def _postings(term: np.ndarray, place: np.ndarray, weight: np.ndarray, terms: in
     return Postings(np.searchsorted(term[order], np.arange(terms + 1)), place[order], weight[order])
 
 
+@dataclass
+class Among:
+    """What BM25 asks of all items: how many there are, their mean length, and how many have each term of an index."""
+
+    items: int
+    mean_length: float
+    terms: np.ndarray
+    counts: np.ndarray
+
+    def frequencies(self, terms: np.ndarray) -> np.ndarray:
+        order = np.argsort(self.terms)
+        return self.counts[order][np.searchsorted(self.terms[order], terms)]
+
+
 class Index:
     """Inverted index of items.  A weight is what a term adds to the score of an item, as a part of the item's own score."""
 
-    def __init__(self, ids: list[int], texts: list[str]):
+    def __init__(self, ids: list[int], texts: list[str], among: Among | None = None):
         hashes, firsts = token_hashes(pa.array(texts, pa.string()))
         owner = np.repeat(np.arange(len(ids)), np.diff(firsts))
         self.ids = np.array(ids, np.int64)
@@ -61,9 +76,11 @@ class Index:
         pairs, tf = np.unique(np.stack([term, owner]), axis=1, return_counts=True)
         term, item = pairs
         lengths = np.diff(firsts).astype(float)
-        df = np.bincount(term, minlength=len(self.terms))
-        idf = np.log(1 + (len(ids) - df + 0.5) / (df + 0.5))
-        weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[item] / max(lengths.mean(), 1)))
+        df, n, mean = np.bincount(term, minlength=len(self.terms)), len(ids), lengths.sum() / max(len(ids), 1)
+        if among:
+            df, n, mean = among.frequencies(self.terms), among.items, among.mean_length
+        idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
+        weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[item] / max(mean, 1)))
         weight = weight / np.bincount(item, weight, len(ids))[item]
         self.items = _postings(term, item, weight, len(self.terms))
         block = item // BLOCK_ITEMS
@@ -80,6 +97,7 @@ class Index:
         self.heads = np.zeros(1 << 20, bool)
         self.heads[(self.terms >> np.uint64(44)).astype(np.int64)] = True
         self.parts = [_item_parts(text) for text in texts]
+        self.shingle_words = [min(SHINGLE_WORDS, len(_split(text))) for text in texts]
         keys, at = term * len(ids) + item, [np.searchsorted(self.terms, token_hashes(_words(t))[0]) for t in texts]
         left = [self._score_left(k, t, weight[np.searchsorted(keys, at[k] * len(ids) + k)]) for k, t in enumerate(texts)]
         # What a passage has to score, so that none with enough shingles of an item is passed over.
@@ -111,19 +129,25 @@ class Index:
         return maybe[hit], place[hit]
 
 
-def _shingles(text: str | None) -> np.ndarray:
+def _split(text: str) -> list[str]:
+    """Words between ASCII white space, of items as of documents."""
+    return [word.decode() for word in text.encode().split()]
+
+
+def _shingles(text: str | None, length: int = SHINGLE_WORDS) -> np.ndarray:
+    """Hashes of the stretches of so many words, or of all words where there are fewer."""
     data, _ = flat(pa.array([text or ""], pa.string()), "\n")
     words = word_hashes(LOWER[data], *word_bounds(data))
-    return Rolling(words).every(min(SHINGLE_WORDS, max(1, len(words)))) if len(words) else words
+    return Rolling(words).every(min(length, max(1, len(words)))) if len(words) else words
 
 
 def _words(text: str) -> pa.Array:
-    return pa.array(sorted(set(text.split())), pa.string())
+    return pa.array(sorted(set(_split(text))), pa.string())
 
 
 def _item_parts(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct shingles of an item, of its question and of its answer, the last quarter; all of it for each if it is short."""
-    words, whole = text.split(), np.unique(_shingles(text))
+    words, whole = _split(text), np.unique(_shingles(text))
     answer = max(SHINGLE_WORDS, round(len(words) * ANSWER_PART))
     if len(words) < answer + SHINGLE_WORDS:
         return whole, whole, whole
@@ -201,11 +225,16 @@ def _hits(column, index: Index) -> list[list[dict]]:
     if not len(index.terms):
         return hits
     hashes, firsts = token_hashes(column)
-    held, last = np.zeros(0, np.uint64), -1
+    held: dict[int, np.ndarray] = {}
+    last = -1
     for (doc, item), score in sorted(_passage_hits(hashes, firsts, index).items()):
         if doc != last:
-            held, last = np.unique(_shingles(column[doc].as_py())), doc
-        overlaps = [float(np.isin(part, held).mean()) if len(part) else 0.0 for part in index.parts[item]]
+            held, last = {}, doc
+        # An item of fewer than five words is one shingle of its own length.
+        length = index.shingle_words[item]
+        if length not in held:
+            held[length] = np.unique(_shingles(column[doc].as_py(), length))
+        overlaps = [float(np.isin(part, held[length]).mean()) if len(part) else 0.0 for part in index.parts[item]]
         if overlaps[0] >= LEAST_OVERLAP:
             hits[doc].append({"item_id": int(index.ids[item]), "score": score, **dict(zip(OVERLAPS, overlaps))})
     return hits
@@ -223,7 +252,7 @@ def with_hits(docs: DataFrame, items: DataFrame, name: str = "benchmark_hits") -
     ``items`` has ``item_id`` and ``text``; those with a null id or no word are never found.
     Passages of every text are queries to the index; where one has at least half the
     item's own score, 0.8 of the distinct five-word shingles of the whole item must be
-    in the document.  The half is lowered for all items if a copy of one could score less.
+    in the document; an item of fewer words must be there as a whole.  The half is lowered for all items if a copy of one could score less.
     Overlaps of question and answer are told, but decide nothing.  Null and empty texts have no hits; repeated rows are kept; other
     columns are kept, but one called ``name`` is replaced.
     """
@@ -233,18 +262,42 @@ def with_hits(docs: DataFrame, items: DataFrame, name: str = "benchmark_hits") -
     return rows
 
 
+def _terms_of_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each distinct term of each item once, and its tokens on the first of them."""
+    for batch in slices(batches, "text"):
+        hashes, firsts = token_hashes(batch.column("text"))
+        item = np.repeat(np.arange(batch.num_rows), np.diff(firsts))
+        pairs, first = np.unique(np.stack([item.astype(np.uint64), hashes]), axis=1, return_index=True)
+        tokens = np.where(np.isin(first, firsts), np.diff(firsts)[pairs[0].astype(np.int64)], 0)
+        shard = batch.column("shard").take(pa.array(pairs[0].astype(np.int64)))
+        columns = [shard, pa.array(pairs[1].view(np.int64)), pa.array(tokens.astype(np.int64))]
+        yield pa.RecordBatch.from_arrays(columns, ["shard", "term", "tokens"])
+
+
 def _indexes(items: DataFrame) -> Iterator:
-    """Indexes of all items, each of about ``INDEX_BYTES`` of text, sent to the executors."""
+    """Indexes of all items, each of about ``INDEX_BYTES`` of text, sent to the executors.
+
+    Terms are weighed by all items, however many indexes these make.
+    """
     spark = items.sparkSession
     items = items.where("item_id is not null and text is not null").select(
         F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text")
     )
+    items = items.where(F.regexp_replace("text", "[ \\t-\\r]+", "") != "")
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     shards = max(1, -(-size // INDEX_BYTES))
+    items = items.withColumn("shard", F.pmod(F.xxhash64("item_id"), F.lit(shards)))
+    if shards > 1:
+        terms = stored(items.select("shard", "text").mapInArrow(_terms_of_items, "shard bigint, term bigint, tokens bigint"))
+        n, tokens = items.count(), terms.agg(F.sum("tokens")).first()[0]
+        counts = terms.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+        counts = stored(terms.select("shard", "term").distinct().join(counts, "term"))
     for shard in range(shards):
-        own = items.where(F.pmod(F.xxhash64("item_id"), F.lit(shards)) == shard).orderBy("item_id", "text").toPandas()
-        own = own[own["text"].str.strip(" \t\n\v\f\r") != ""]
-        yield spark.sparkContext.broadcast(Index(own["item_id"].tolist(), own["text"].tolist()))
+        own, among = items.where(F.col("shard") == shard).orderBy("item_id", "text").toPandas(), None
+        if shards > 1:
+            found = counts.where(F.col("shard") == shard).toPandas()
+            among = Among(n, tokens / n, found["term"].to_numpy(np.int64).view(np.uint64), found["n"].to_numpy(np.int64))
+        yield spark.sparkContext.broadcast(Index(own["item_id"].tolist(), own["text"].tolist(), among))
 
 
 def _one_index(rows: DataFrame, held) -> DataFrame:

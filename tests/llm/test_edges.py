@@ -1,6 +1,7 @@
 """Nulls, empty and very long texts, repeated rows, clashing column names and empty tables."""
 
 import pytest
+from pyspark.sql.functions import lit
 
 import corpus_pipeline
 from landfall.llm.bwt_merge import cut_documents, repeat_digest
@@ -108,6 +109,21 @@ def test_vectors_without_a_direction(spark):
     assert vector_classes(vectors.limit(0)).count() == 0
 
 
+def test_other_columns_of_vectors_labels_and_items_do_not_matter(spark, edges, labels, items):
+    names = ("id", "bucket", "own", "copies", "y", "text_", "first", "score", "hits", "ids", "node", "component")
+
+    def more(df):
+        return df.select("*", *[lit(k).alias(name) for k, name in enumerate(names) if name not in df.columns])
+
+    rows = [(1, [1.0, 0.0]), (2, [2.0, 0.1]), (3, [0.0, 1.0])]
+    vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    pairs = [(vector_classes, (vectors,)), (contaminated, (edges, items))]
+    pairs += [(scored, (edges, labels)) for scored in SCORED.values()]
+    for operator, tables in pairs:
+        plain, with_more = operator(*tables), operator(*tables[:-1], more(tables[-1]))
+        assert sorted(map(str, plain.collect())) == sorted(map(str, with_more.collect()))
+
+
 def test_stages_take_edges_and_nothing(spark, edges, nothing, tmp_path):
     items = spark.createDataFrame([(1, SAME)], "item_id bigint, text string")
     items.write.parquet(f"{tmp_path}/benchmark.parquet")

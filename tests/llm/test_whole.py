@@ -4,6 +4,7 @@ import random
 
 import pyarrow as pa
 
+import landfall.llm.decontaminate as decontaminate
 from landfall.llm.arrays import flat
 from landfall.llm.decontaminate import contaminated
 from landfall.llm.language_id import MOST_BITS, Languages, _predict, letters_of
@@ -80,3 +81,41 @@ def test_two_texts_of_one_doc_id_stay_or_go_each_with_its_own_class(spark):
     kept = one_of_each(frame)
     assert kept.columns == frame.columns
     assert sorted(map(tuple, kept.collect())) == [(1, texts[0], "x"), (2, texts[1], "a")]
+
+
+def plain_hits(docs, items):
+    """Items of which 0.8 of the distinct shingles of five words, or of all words, are in a document."""
+
+    def shingles(text, length):
+        words = text.lower().split()
+        return {tuple(words[k : k + length]) for k in range(len(words) - length + 1)}
+
+    found = set()
+    for item, text in items:
+        length = min(5, len(text.split()))
+        own = shingles(text, length)
+        found |= {(doc, item) for doc, whole in docs if own and 5 * len(own & shingles(whole, length)) >= 4 * len(own)}
+    return found
+
+
+def test_items_of_any_length_are_found_however_many_indexes(spark, monkeypatch):
+    pick = random.Random(8)
+    word = lambda: f"q{pick.randrange(4000)}"
+    items = [(n, " ".join(word() for _ in range(n))) for n in range(1, 81)]
+    items += [(100, "two two"), (101, "Word Word word"), (102, "tie one two three four five six"), (103, "tie one two three four five six")]
+    docs = []
+    for n, text in items:
+        for changes in (0, 1, 2, n // 8):
+            words = text.split()
+            for k in pick.sample(range(len(words)), min(changes, len(words))):
+                words[k] = word()
+            around = [word() for _ in range(60)]
+            docs.append((len(docs), " ".join([*around[:30], *words, *around[30:]]).upper()))
+    frame, listed = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    want = plain_hits(docs, items)
+    rows = sorted(map(tuple, contaminated(frame, listed).collect()))
+    assert {r[:2] for r in rows} == want and len(rows) == len(want)
+    monkeypatch.setattr(decontaminate, "INDEX_BYTES", 4000)
+    again = sorted(map(tuple, contaminated(frame, listed).collect()))
+    assert [r[:2] for r in again] == [r[:2] for r in rows]
+    assert all(abs(x - y) < 1e-9 for a, c in zip(again, rows) for x, y in zip(a[2:], c[2:]))

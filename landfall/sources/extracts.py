@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from landfall.schemas import EXTRACT
 from landfall.sources.files import discover_inputs, order_months
+from landfall.sources.footers import lacking
+
+# Files named when columns are missing, and the pattern where none is given; Spark passes over hidden files.
+NAMED = 5
+DATA_FILES = "*"
 
 
 def scan_admissions(
@@ -21,9 +25,9 @@ def scan_admissions(
 ) -> DataFrame:
     """All given extracts in one typed scan, of files whose names match ``pattern`` if one is given.
 
-    An extract that lacks a column of ``schema`` stops the job: read as nulls, it would be
-    filled and pass all checks.  Of a Parquet extract one file's columns are looked at,
-    before any row is read; every CSV file is checked as it is read.
+    A file that lacks a column of ``schema`` stops the job: read as nulls, it would be
+    filled and pass all checks.  Of Parquet the footers of all files are looked at, in
+    one job, before any row is read; every CSV file is checked as it is read.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     if file_format == "parquet":
@@ -41,16 +45,12 @@ def _reader(spark: SparkSession, pattern: str | None):
 
 
 def check_columns(spark: SparkSession, paths: Sequence[str], schema: StructType, pattern: str | None = None) -> None:
-    """Raises ``ValueError`` naming the columns that an extract lacks; extracts are as many as months."""
-
-    def lacking(path: str) -> tuple[str, list[str]]:
-        found = _reader(spark, pattern).parquet(path).columns
-        return path, [name for name in schema.names if name not in found]
-
-    with ThreadPoolExecutor(8) as pool:
-        for path, names in pool.map(lacking, paths):
-            if names:
-                raise ValueError(f"{path} lacks {', '.join(names)}")
+    """Raises ``ValueError`` naming files without some of the columns, and these."""
+    found = lacking(spark, list(paths), schema.names, pattern or DATA_FILES)
+    named = found.orderBy("path").limit(NAMED + 1).collect()
+    if named:
+        rows = [f"{r['path']} lacks {', '.join(r['lacks'])}" for r in named[:NAMED]]
+        raise ValueError("; ".join(rows) + ("; and others" if len(named) > NAMED else ""))
 
 
 def scan_latest(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,8 +49,8 @@ def year_number(path: Column) -> Column:
     return short + F.when(short < 70, 2000).otherwise(1900)
 
 
-def discover_inputs(spark: SparkSession, root: str, pattern: str = "*.parquet") -> DataFrame:
-    """One row per matching file anywhere below ``root``; file contents are not read."""
+def discover_inputs(spark: SparkSession, root: str | Sequence[str], pattern: str = "*.parquet") -> DataFrame:
+    """One row per matching file anywhere below ``root``, or several of them; file contents are not read."""
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)

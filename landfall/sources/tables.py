@@ -18,4 +18,8 @@ def read_month(
     by: tuple[str, str] = ("arrival_year", "arrival_month"),
 ) -> DataFrame:
     """One month of a table laid out by year and month; other folders are not opened."""
-    return scan_parquet(spark, path).where((F.col(by[0]) == year) & (F.col(by[1]) == month))
+    return of_month(scan_parquet(spark, path), year, month, by)
+
+
+def of_month(table: DataFrame, year: int, month: int, by: tuple[str, str] = ("arrival_year", "arrival_month")) -> DataFrame:
+    return table.where((F.col(by[0]) == year) & (F.col(by[1]) == month))

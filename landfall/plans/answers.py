@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from landfall.functions.bitmaps import bitmap_place, bits_of, bits_set, code_number, merged_bits
 from landfall.operators.joins import join_fact_country, join_fact_port, join_lookup
 
 
@@ -63,6 +64,30 @@ def nationalities_by_airport(fact: DataFrame, airports: DataFrame) -> DataFrame:
     )
 
 
+def nationality_bits(fact: DataFrame, *more: str) -> DataFrame:
+    """Arrivals and the set of country codes of each airport, and of each value of ``more``, in a form that can be merged.
+
+    A set is bitmaps of 4 kB, one for each 32,768 codes, so a row takes the same space however many
+    arrivals it stands for.  Rows are counted in each task before they are shuffled.
+    """
+    number = code_number(F.col("country_code"))
+    coded = fact.select("airport_id", *more, number.alias("_code"))
+    counted = coded.groupBy("airport_id", *more, "_code").agg(F.count(F.lit(1)).alias("entries"))
+    place = F.coalesce(bitmap_place(F.col("_code")), F.lit(0).cast("bigint")).alias("place")
+    return counted.groupBy("airport_id", *more, place).agg(F.sum("entries").alias("entries"), bits_of(F.col("_code")).alias("bits"))
+
+
+def nationalities_from_bits(bits: DataFrame, airports: DataFrame) -> DataFrame:
+    """``nationalities_by_airport`` from any number of ``nationality_bits``, each code counted once over all of them."""
+    merged = bits.groupBy("airport_id", "place").agg(F.sum("entries").alias("entries"), merged_bits(F.col("bits")).alias("bits"))
+    grouped = merged.groupBy(F.col("airport_id").alias("fact_airport")).agg(
+        F.sum("entries").alias("entries"), F.sum(bits_set(F.col("bits"))).alias("nationalities")
+    )
+    return join_lookup(grouped, airports, "fact_airport", "airport_id").select(
+        "airport_id", "airport_name", "airport_state", "entries", "nationalities"
+    )
+
+
 def top_airports(fact: DataFrame, airports: DataFrame, k: int) -> DataFrame:
     """The ``k`` most used airports, equal counts by id."""
     used = fact.groupBy(F.col("airport_id").alias("fact_airport")).agg(F.count(F.lit(1)).alias("entries"))
@@ -72,3 +97,18 @@ def top_airports(fact: DataFrame, airports: DataFrame, k: int) -> DataFrame:
         .orderBy(F.desc("entries"), "airport_id")
         .limit(k)
     )
+
+
+def arrivals_on(fact: DataFrame, days: DataFrame) -> DataFrame:
+    """Facts of the days in ``days``, a time dimension cut down to some of them.
+
+    Days are met by year and month, too: of a fact in folders of months Spark then reads only those the
+    days are in, which it finds out while it runs.
+    """
+    wanted = days.select(F.col("arrival_ts").alias("_day"), F.col("year").alias("_year"), F.col("month").alias("_month"))
+    same = (
+        (F.col("arrival_year") == F.col("_year"))
+        & (F.col("arrival_month") == F.col("_month"))
+        & (F.col("arrival_time") == F.col("_day"))
+    )
+    return fact.join(wanted, same, "left_semi")

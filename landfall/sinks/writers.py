@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,8 +21,16 @@ def run_path(base: str, table: str, stamp: str) -> str:
     return f"{base.rstrip('/')}/run={stamp}/{table}"
 
 
-def write_overwrite(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+Observe = Callable[[DataFrame], DataFrame]
+
+
+def _unobserved(df: DataFrame) -> DataFrame:
+    return df
+
+
+def write_overwrite(df: DataFrame, path: str, observe: Observe = _unobserved) -> None:
+    """Replaces what is there; ``observe`` may look at the rows on their way."""
+    observe(df).write.mode("overwrite").parquet(path)
 
 
 def write_partitioned(
@@ -32,6 +40,7 @@ def write_partitioned(
     order: Sequence[str] = (),
     append: bool = False,
     rebalance: bool = True,
+    observe: Observe = _unobserved,
 ) -> None:
     """Parquet by folder, sorted in each file.
 
@@ -40,9 +49,10 @@ def write_partitioned(
     Where each task has rows of few folders already, as when monthly files are read,
     that shuffle can be left out.
     By default folders present in ``df`` are replaced and others kept, so a run
-    can be repeated; ``append`` adds files instead.
+    can be repeated; ``append`` adds files instead.  ``observe`` may look at the rows
+    after the last shuffle, where a task that is run again counts once.
     """
-    spread = df.hint("rebalance", *[F.col(c) for c in by]) if rebalance else df
+    spread = observe(df.hint("rebalance", *[F.col(c) for c in by]) if rebalance else df)
     writer = spread.sortWithinPartitions(*by, *order).write.partitionBy(*by)
     if append:
         writer.mode("append").parquet(path)
@@ -56,6 +66,11 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
 def write_clean_csv(df: DataFrame, path: str) -> None:
     """CSV with a header and blanks kept as they are."""
     (

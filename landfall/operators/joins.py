@@ -28,6 +28,20 @@ def join_lookup(
     return rows.join(lookup, as_key(rows[row_key]) == as_key(lookup[lookup_key]))
 
 
+def join_lookup_filtered(
+    rows: DataFrame, lookup: DataFrame, row_key: str, lookup_key: str, as_key: AsKey = _as_it_is
+) -> DataFrame:
+    """``join_lookup`` where many rows have no entry in a list too long to broadcast.
+
+    Spark then makes a Bloom filter of the list's keys while it runs, and drops nearly all rows without an
+    entry before they are shuffled.  It does so for lists it deems cut down by a condition: here, that there
+    is a key at all, which an inner join asks anyway.  ``landfall.session`` sets from which size of rows on, and
+    up to which size of list, that pays.
+    """
+    known = lookup.where(F.length(F.col(lookup_key).cast("string")) >= 0)
+    return join_lookup(rows, known, row_key, lookup_key, as_key)
+
+
 def frequent_keys(keyed: DataFrame, rows_per_task: int) -> DataFrame:
     """Keys on more rows than one task should get, with the number of tasks each is to be spread over.
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from landfall.schemas import KEYS
@@ -56,12 +57,44 @@ def check_table(
     )
 
 
-def check_list(df: DataFrame, name: str, key: str, round_ts: str) -> DataFrame:
-    """One row: list, codes, codes listed more than once, verdict; such a code multiplies the rows it meets."""
-    codes = df.groupBy(F.col(key)).agg(F.count(F.lit(1)).alias("listed"))
-    counted = codes.agg(
-        F.coalesce(F.sum("listed"), F.lit(0)).alias("row_count"), F.count_if(F.col("listed") > 1).alias("bad_key_count")
-    )
+class Measured:
+    """Row and bad-key counts of tables, taken while they are written instead of by reading them again.
+
+    Counts are observed in the tasks that write, after the last shuffle: what a lost task
+    counted is forgotten with it, and what is run again counts once.
+    """
+
+    def __init__(self):
+        self._seen: dict[str, Observation] = {}
+
+    def of(self, table: str, keys: Sequence[str] | None = None) -> Callable[[DataFrame], DataFrame]:
+        """To be put on the way of a table's rows; ``report`` has them once the table is written."""
+
+        def observe(df: DataFrame) -> DataFrame:
+            self._seen[table] = seen = Observation(f"{table} {uuid.uuid4().hex}")
+            bad = F.count_if(bad_key_predicate(df, keys or KEYS[table]))
+            return df.observe(seen, F.count(F.lit(1)).alias("row_count"), bad.alias("bad_key_count"))
+
+        return observe
+
+    def counts(self) -> list[tuple[str, int, int]]:
+        return [(name, seen.get["row_count"], seen.get["bad_key_count"]) for name, seen in self._seen.items()]
+
+    def report(self, spark: SparkSession, round_ts: str, compat: bool = False) -> DataFrame:
+        """The same rows as ``dq_report`` over the written tables."""
+        rows = spark.createDataFrame(self.counts(), "table_name string, row_count bigint, bad_key_count bigint")
+        verdict = dq_verdict(F.col("bad_key_count"), F.col("row_count"), compat)
+        return rows.select(F.lit(round_ts).alias("round_ts"), "*", verdict.alias("status"))
+
+
+def check_list(df: DataFrame, name: str, key: str | Column, round_ts: str) -> DataFrame:
+    """One row: list, codes, codes listed more than once, verdict; such a code multiplies the rows it meets.
+
+    ``key`` is the column, or what it is compared by.  A null code meets nothing.
+    """
+    codes = df.groupBy((F.col(key) if isinstance(key, str) else key).alias("code")).agg(F.count(F.lit(1)).alias("listed"))
+    doubled = F.col("code").isNotNull() & (F.col("listed") > 1)
+    counted = codes.agg(F.coalesce(F.sum("listed"), F.lit(0)).alias("row_count"), F.count_if(doubled).alias("bad_key_count"))
     verdict = dq_verdict(F.col("bad_key_count"), F.col("row_count"))
     return counted.select(
         F.lit(round_ts).alias("round_ts"), F.lit(name).alias("table_name"), "row_count", "bad_key_count",
@@ -73,7 +106,7 @@ def dq_report(
     tables: Mapping[str, DataFrame],
     round_ts: str,
     compat: bool = False,
-    lists: Mapping[str, tuple[DataFrame, str]] | None = None,
+    lists: Mapping[str, tuple[DataFrame, str | Column]] | None = None,
 ) -> DataFrame:
     """One row a table for this round, and one for each code list given with its key column."""
     rows = [check_table(df, name, round_ts=round_ts, compat=compat) for name, df in tables.items()]

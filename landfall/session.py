@@ -13,6 +13,10 @@ from pyspark.sql import SparkSession
 SETTINGS = {
     # Code lists up to this size meet the extract without a shuffle; Spark compares it with their size.
     "spark.sql.autoBroadcastJoinThreshold": "64m",
+    # A longer list of up to the second size is made a Bloom filter for rows of which more than the first are read.
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1g",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1g",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -3,8 +3,9 @@
 A crossing is a line item; its order, customer, supplier and part, each of a unique key, are
 looked up where they exist.  So a table that gives no wanted column changes
 no row, and is left out.  Orders meet customers first, so that line items, the largest
-table, are shuffled once for both.  Sides are left for Spark to broadcast by its
-own size check, and adaptive execution splits a partition that one key overfills.
+table, are shuffled once for both, or not at all where the files of orders are small enough to
+broadcast.  Other sides are left to Spark's own size check, and adaptive execution splits
+a partition that one key overfills.
 """
 
 from __future__ import annotations
@@ -87,6 +88,13 @@ LINE_COLUMNS: dict[str, Callable[[], Column]] = {
 }
 
 
+def broadcastable(df: DataFrame) -> bool:
+    """Whether Spark, from the size of the files, would broadcast a table; no job is run."""
+    spark = df.sparkSession
+    limit = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return 0 <= df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() <= limit
+
+
 def crossings(spark: SparkSession, sf_dir: str, *wanted: str) -> DataFrame:
     """The extract, or the wanted columns of it, over all line items."""
     names = list(wanted) or EXTRACT.names
@@ -100,6 +108,9 @@ def crossings(spark: SparkSession, sf_dir: str, *wanted: str) -> DataFrame:
             party = party.join(customers, party["o_custkey"] == customers["c_custkey"], "left")
             values["i94cit"] = F.col("c_nationkey").cast("double")
         values["visatype"] = F.col("o_orderpriority")
+        party = party.select("o_orderkey", *[c for c in ("c_nationkey", "o_orderpriority") if c in party.columns])
+        # Spark takes the joined side for larger than both; it has a row an order, and no more columns than are used.
+        party = F.broadcast(party) if broadcastable(table(spark, sf_dir, "orders")) else party
         rows = rows.join(party, rows["l_orderkey"] == party["o_orderkey"], "left")
     if "i94res" in names:
         suppliers = table(spark, sf_dir, "supplier")
@@ -115,20 +126,11 @@ def crossings(spark: SparkSession, sf_dir: str, *wanted: str) -> DataFrame:
 def place_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Crossings counted by port and country of citizenship, as ``entries``.
 
-    Line items are counted by order and supplier first, in each task, so an order meets its
-    customer with as many rows as it has suppliers, however many line items those are.
+    Line items carry two keys to their order, once.  Counting them by order first would shuffle nearly
+    all of them twice: an order has few line items; one that has many is split by adaptive execution.
     """
-    lines = (
-        table(spark, sf_dir, "lineitem")
-        .where(F.col("l_shipdate").isNotNull())
-        .groupBy("l_orderkey", "l_suppkey")
-        .agg(F.count(F.lit(1)).alias("lines"))
-    )
-    orders, customers = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
-    party = orders.join(customers, orders["o_custkey"] == customers["c_custkey"], "left")
-    met = lines.join(party, lines["l_orderkey"] == party["o_orderkey"], "left")
-    port, country = LINE_COLUMNS["i94port"]().alias("i94port"), F.col("c_nationkey").cast("double").alias("i94cit")
-    return met.groupBy(port, country).agg(F.sum("lines").alias("entries"))
+    met = crossings(spark, sf_dir, "i94port", "i94cit", "arrdate").where(F.col("arrdate").isNotNull())
+    return met.groupBy("i94port", "i94cit").agg(F.count(F.lit(1)).alias("entries"))
 
 
 def _quoted(text: Column) -> Column:

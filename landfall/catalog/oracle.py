@@ -215,6 +215,13 @@ SELECT airport_id, airport_name, airport_state, count(*) AS entries,
        count(DISTINCT country_code) AS nationalities
 FROM fact JOIN airports USING (airport_id) GROUP BY airport_id, airport_name, airport_state"""
 
+
+
+def _list_check(name: str, key: str) -> str:
+    doubled = f"SELECT count(*) FROM (SELECT {key} FROM {name} GROUP BY 1 HAVING count(*) > 1)"
+    return f"SELECT '{name}_list', count(*), ({doubled}) FROM {name}"
+
+
 SQL: dict[str, str] = {
     "scan_admissions": _of_all("SELECT * FROM crossings"),
     "discover_inputs": _of_all(f"SELECT DISTINCT {_EXTRACT} AS extract, true AS has_bytes FROM crossings"),
@@ -229,6 +236,8 @@ SQL: dict[str, str] = {
         SELECT i94yr, i94mon, count(*) AS row_count,
                count(CASE WHEN NOT {_SUPERSEDED} THEN depdate END) AS departures
         FROM crossings GROUP BY i94yr, i94mon"""),
+    "lacking_columns": _of_all(f"""
+        SELECT DISTINCT {_EXTRACT} AS extract, 'cicid,depdate' AS lacks FROM crossings WHERE i94yr = {CHANGED_YEAR}"""),
     "scan_ports": _of_lists("SELECT * FROM raw_ports"),
     "scan_countries": _of_lists("SELECT * FROM raw_countries"),
     "scan_iso": _of_lists("SELECT * FROM iso"),
@@ -248,11 +257,18 @@ SQL: dict[str, str] = {
     "write_partitioned_replace": _of_all(f"""
         SELECT * REPLACE (CASE WHEN arrival_year = {CHANGED_YEAR} THEN airline ELSE 'OLD' END AS airline)
         FROM fact"""),
+    "snapshot_overwrite": _of_lists("SELECT * FROM airports"),
+    "snapshot_replace": _of_all(f"""
+        SELECT * REPLACE (CASE WHEN arrival_year = {CHANGED_YEAR} THEN airline ELSE 'OLD' END AS airline)
+        FROM fact"""),
     "write_clean_csv": _of_lists("SELECT * FROM ports"),
     "run_stamp": _of_lists(f"SELECT *, '{_RUN}' AS run FROM airports"),
     "partition_pruned_read": _of_all(
         f"SELECT * FROM fact WHERE arrival_year = {CHANGED_YEAR} AND arrival_month = 3"
     ),
+    "time_pruned_read": _of_all(f"""
+        SELECT fact.* FROM fact JOIN time_dim ON arrival_time = arrival_ts WHERE week = 10 AND year = {CHANGED_YEAR}"""),
+    "clustered_read": _of_all("SELECT * FROM fact WHERE airport_id = 'P1'"),
     "project_admissions": _of_all("""
         SELECT admnum AS admission_nbr, i94res AS country_code, i94bir AS age,
                i94visa AS visa_code, visatype AS visa_type, gender AS person_gender FROM clean"""),
@@ -273,6 +289,9 @@ SQL: dict[str, str] = {
         SELECT cicid, i94cit, countries.* FROM clean JOIN countries ON i94cit = i94_cit::double"""),
     "join_fact_port": _of_all("SELECT cicid, i94port, ports.* FROM clean JOIN ports ON i94port = i94_port"),
     "join_fact_port_spread": _of_all("SELECT cicid, i94port, ports.* FROM clean JOIN ports ON i94port = i94_port"),
+    "join_fact_port_filtered": _of_all("""
+        SELECT cicid, i94port, ports.* FROM clean JOIN ports ON i94port = i94_port
+        WHERE substr(i94_port, 2)::integer % 3 = 0"""),
     "join_fact_time": _of_all("""
         SELECT cicid, arrdate, arrival_time, t.* FROM clean JOIN time_dim t ON arrival_time = arrival_ts"""),
     "star_join": _of_all("""
@@ -289,6 +308,7 @@ SQL: dict[str, str] = {
     "df_count": _of_all("SELECT count(*) AS count FROM crossings"),
     "nationalities_by_airport": _of_all(_NATIONALITIES),
     "nationalities_from_extract": _of_all(_NATIONALITIES),
+    "nationality_bits": _of_all(_NATIONALITIES),
     "star_sql": _of_all("""
         SELECT airport_state, arrival_year, count(*) AS entries, count(DISTINCT country_code) AS nationalities
         FROM fact JOIN airports USING (airport_id) GROUP BY airport_state, arrival_year"""),
@@ -328,6 +348,9 @@ SQL: dict[str, str] = {
     },
     "surrogate_id": _of_all("SELECT immigration_id, arrival_time FROM fact"),
     "surrogate_id_of_run": _of_all("SELECT count(*) AS row_count, 1::bigint AS uses_of_an_id FROM fact"),
+    "dense_numbers": _of_all(f"""
+        SELECT immigration_id, row_number() OVER (ORDER BY arrival_year > {CHANGED_YEAR}, immigration_id) - 1 AS number
+        FROM fact"""),
     "implicit_number_string_eq": _of_all("SELECT cicid, admnum = fltno::double AS same FROM crossings"),
     # The words for arrival modes and visa codes.
     "code_labels": _of_all("""
@@ -358,13 +381,20 @@ SQL: dict[str, str] = {
                      count(*) FILTER (WHERE bad_key AND o_orderpriority <> '5-LOW') AS bad_key_count
               FROM seeded GROUP BY o_orderpriority)"""),
     "dq_report": _of_all(f"SELECT '{_RUN}' AS round_ts, *, {_STATUS} FROM checks"),
+    "checks_while_writing": _of_all(f"SELECT '{_RUN}' AS round_ts, *, {_STATUS} FROM checks"),
     "dq_record": _of_all(f"""
         SELECT '{_RUN}' AS round_ts, {", ".join(
             f"max(CASE WHEN table_name = '{name}' THEN row_count END) AS {name}_count, "
             f"max(CASE WHEN table_name = '{name}' THEN status END) AS {name}"
             for name in ("admissions", "countries", "airports", "time", "immigrations")
         )} FROM (SELECT *, {_STATUS} FROM checks)"""),
-    "run_all_months": _of_all(f"SELECT '{_RUN}' AS round_ts, *, {_STATUS} FROM checks"),
+    "run_all_months": _of_all(f"""
+        SELECT '{_RUN}' AS round_ts, *, {_STATUS} FROM (
+            FROM checks
+            UNION ALL {_list_check("ports", "i94_port")}
+            UNION ALL {_list_check("countries", "i94_cit::double")}
+            UNION ALL {_list_check("iso", "country_code::integer")}
+        )"""),
     "dropped_rows": _of_all("""
         SELECT count(*) AS source_rows,
                count(*) FILTER (WHERE NOT undated AND i94_cit IS NOT NULL AND i94_port IS NOT NULL) AS kept_rows,
@@ -380,4 +410,10 @@ SQL: dict[str, str] = {
     "incremental_months": _of_all(f"""
         SELECT * REPLACE (CASE WHEN arrival_year = {CHANGED_YEAR} THEN timestamp '1960-01-01'
                                ELSE departure_date END AS departure_date) FROM fact"""),
+    "kept_admissions": _of_all(f"""
+        SELECT DISTINCT admnum AS admission_nbr, i94res AS country_code, i94bir AS age,
+               i94visa AS visa_code, visatype AS visa_type, gender AS person_gender
+        FROM clean WHERE i94yr <> {CHANGED_YEAR - 1}"""),
+    "kept_time": _of_all(f"SELECT DISTINCT arrival_time AS arrival_ts, {_PARTS_SQL} FROM clean WHERE i94yr <> {CHANGED_YEAR - 1}"),
+    "kept_nationalities": _of_all(_NATIONALITIES),
 }

@@ -6,6 +6,7 @@ from collections.abc import Callable
 from datetime import datetime
 from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -13,16 +14,18 @@ from pyspark.sql.types import StructType
 from landfall.catalog import bindings as b
 from landfall.functions import dates, keys, labels, text
 from landfall.operators import clean as cl
+from landfall.operators import clustering
 from landfall.operators import distinct as ds
 from landfall.operators import joins as jn
+from landfall.operators import numbering
 from landfall.operators import ordering as od
 from landfall.operators import projections as pj
 from landfall.operators import quality as q
 from landfall.plans import answers, dimensions, fact as facts, losses, months, staging, views
 from landfall.schemas import ISO, KEYS, PORTS
 from landfall.session import workspace
-from landfall.sinks import writers
-from landfall.sources import extracts, files, lookups, tables
+from landfall.sinks import snapshots, writers
+from landfall.sources import extracts, files, footers, lookups, tables
 from landfall.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -154,6 +157,18 @@ def _(spark, sf):
     )
 
 
+@register("lacking_columns")
+def _(spark, sf):
+    # One year's extracts come in two parts, of which the later one has no departures.
+    root = workspace(spark)
+    crossed = b.crossings(spark, sf, *DELIVERED)
+    b.write_extracts(crossed, root)
+    b.write_extracts(crossed.where(F.col("i94yr") == CHANGED_YEAR).drop("depdate", "cicid"), root)
+    found = footers.lacking(spark, root, DELIVERED)
+    name = F.regexp_extract(files.extract_path(F.col("path")), "([^/=]+)$", 1)
+    return found.select(name.alias("extract"), F.array_join("lacks", ",").alias("lacks")).distinct()
+
+
 @register("scan_ports")
 def _(spark, sf):
     return lookups.scan_ports(spark, b.write_list(spark, sf, "ports", workspace(spark)))
@@ -216,6 +231,43 @@ def _(spark, sf):
     return tables.scan_parquet(spark, path)
 
 
+def failing(rows: DataFrame) -> DataFrame:
+    """Rows that fail when they are written."""
+    return rows.withColumn(rows.columns[0], F.raise_error(F.lit("sown")).cast(rows.dtypes[0][1]))
+
+
+@register("snapshot_overwrite")
+def _(spark, sf):
+    base = workspace(spark)
+    airports = dimensions.dim_airports(b.ports(spark, sf))
+    for name, written in (("airports", [b.raw_ports(spark, sf)]), ("airports", [airports]), ("airports", [b.ports(spark, sf), failing(airports)])):
+        update = snapshots.Update(spark, base)
+        try:
+            for rows in written:
+                update.write(name, rows)
+            update.publish()
+        except PySparkException:
+            # The update wrote one table and broke off in the next: readers see neither.
+            continue
+    return snapshots.read_snapshot(spark, base, "airports")
+
+
+@register("snapshot_replace")
+def _(spark, sf):
+    base, layout = workspace(spark), snapshots.Layout(("arrival_year", "arrival_month"), order=("arrival_time",))
+    table = fact(spark, sf)
+    changed = table.where(F.col("arrival_year") == CHANGED_YEAR)
+    parts = [layout.part(CHANGED_YEAR, month) for month in range(1, 13)]
+    for written, replaced in ((table.withColumn("airline", F.lit("OLD")), None), (changed, parts), (failing(changed), parts)):
+        update = snapshots.Update(spark, base)
+        try:
+            update.write("immigrations", written, layout, replaced)
+            update.publish()
+        except PySparkException:
+            continue
+    return snapshots.read_snapshot(spark, base, "immigrations")
+
+
 @register("write_clean_csv")
 def _(spark, sf):
     path = workspace(spark)
@@ -238,6 +290,23 @@ def _(spark, sf):
     return tables.read_month(spark, path, CHANGED_YEAR, 3)
 
 
+@register("time_pruned_read")
+def _(spark, sf):
+    base = workspace(spark)
+    star = lean_star(spark, sf)
+    writers.write_partitioned(star["immigrations"], f"{base}/fact", ["arrival_year", "arrival_month"], ["arrival_time"])
+    writers.write_overwrite(star["time"], f"{base}/time")
+    days = tables.scan_parquet(spark, f"{base}/time").where((F.col("week") == 10) & (F.col("year") == CHANGED_YEAR))
+    return answers.arrivals_on(tables.scan_parquet(spark, f"{base}/fact"), days)
+
+
+@register("clustered_read")
+def _(spark, sf):
+    path = workspace(spark)
+    clustering.write_clustered(fact(spark, sf), path)
+    return tables.scan_parquet(spark, path).where(F.col("airport_id") == "P1")
+
+
 # Projections and predicates
 
 
@@ -311,6 +380,13 @@ def _(spark, sf):
     return jn.spread_join(b.clean(spark, sf, "cicid", "i94port"), b.ports(spark, sf), "i94port", "i94_port", "cicid", 50)
 
 
+@register("join_fact_port_filtered")
+def _(spark, sf):
+    # A list of which two thirds are gone.
+    known = b.ports(spark, sf).where(F.substring("i94_port", 2, 20).cast("int") % 3 == 0)
+    return jn.join_lookup_filtered(b.clean(spark, sf, "cicid", "i94port"), known, "i94port", "i94_port")
+
+
 @register("join_fact_time")
 def _(spark, sf):
     rows = timed(spark, sf)
@@ -380,6 +456,12 @@ def _(spark, sf):
     return answers.by_airport(answers.known_places(counted, b.countries(spark, sf), b.ports(spark, sf)))
 
 
+@register("nationality_bits")
+def _(spark, sf):
+    bits = answers.nationality_bits(fact(spark, sf), "arrival_year", "arrival_month")
+    return answers.nationalities_from_bits(bits, dimensions.dim_airports(b.ports(spark, sf)))
+
+
 @register("star_sql")
 def _(spark, sf):
     views.register_views(lean_star(spark, sf), prefix="landfall_")
@@ -517,6 +599,15 @@ def _(spark, sf):
     return uses.agg(F.sum("uses").alias("row_count"), F.max("uses").alias("uses_of_an_id"))
 
 
+@register("dense_numbers")
+def _(spark, sf):
+    # Two deliveries: keys known from the first keep their numbers, the others come after.
+    base, ids = workspace(spark), fact(spark, sf).select("immigration_id", "arrival_year")
+    for delivered in (ids.where(F.col("arrival_year") <= CHANGED_YEAR), ids):
+        found = numbering.numbered(spark, base, "numbers", delivered.select("immigration_id"))
+    return found
+
+
 @register("implicit_number_string_eq")
 def _(spark, sf):
     rows = b.crossings(spark, sf, "cicid", "admnum", "fltno")
@@ -605,6 +696,14 @@ def _(spark, sf):
     return q.dq_report(lean_star(spark, sf), writers.run_stamp(RUN_START))
 
 
+@register("checks_while_writing")
+def _(spark, sf):
+    base, seen = workspace(spark), q.Measured()
+    for name, table in lean_star(spark, sf).items():
+        writers.write_overwrite(table, f"{base}/{name}", seen.of(name))
+    return seen.report(spark, writers.run_stamp(RUN_START))
+
+
 @register("dq_record")
 def _(spark, sf):
     return q.dq_record(q.dq_report(lean_star(spark, sf), writers.run_stamp(RUN_START)))
@@ -636,14 +735,13 @@ def _(spark, sf):
     return losses.orphan_fact_countries(fact(spark, sf), dimensions.dim_countries(countries, b.iso(spark, sf)))
 
 
-@register("incremental_months")
-def _(spark, sf):
+def updated(spark, sf):
+    """Two updates: some months come first, then come again; the others only in the second delivery."""
     base = workspace(spark)
     crossed = b.crossings(spark, sf)
     countries, ports = b.countries(spark, sf), b.ports(spark, sf)
     changed = F.col("i94yr") == CHANGED_YEAR
     later = crossed.withColumn("depdate", F.lit(None).cast("double"))
-    # Some months come first, then come again; the others only in the second delivery.
     deliveries = {
         "first": crossed.where(F.col("i94yr") <= CHANGED_YEAR),
         "second": later.where(changed).unionByName(crossed.where(F.col("i94yr") > CHANGED_YEAR)),
@@ -653,4 +751,27 @@ def _(spark, sf):
         incremental.incremental_months(
             spark, f"{base}/in", f"{base}/out", f"{base}/progress", countries, ports, schema=b.BOUND_EXTRACT
         ).awaitTermination()
-    return incremental.read_incremental(spark, f"{base}/out")
+    return f"{base}/out"
+
+
+@register("incremental_months")
+def _(spark, sf):
+    return incremental.read_incremental(spark, updated(spark, sf))
+
+
+def _kept(table: str) -> Query:
+    def query(spark, sf):
+        base = updated(spark, sf)
+        incremental.remove_months(spark, base, [(CHANGED_YEAR - 1, month) for month in range(1, 13)])
+        return incremental.read_incremental(spark, base, table)
+
+    return query
+
+
+for _table in incremental.DIMENSIONS:
+    register(f"kept_{_table}")(_kept(_table))
+
+
+@register("kept_nationalities")
+def _(spark, sf):
+    return incremental.read_nationalities(spark, updated(spark, sf), dimensions.dim_airports(b.ports(spark, sf)))

@@ -10,6 +10,7 @@ from landfall.catalog import bindings as b
 from landfall.catalog.oracle import SQL
 from landfall.catalog.queries import QUERIES
 from landfall.plans import fact as facts
+from landfall.operators import joins
 from landfall.operators.quality import check_table
 from landfall.plans import losses
 from landfall.plans.months import build_star
@@ -39,9 +40,34 @@ def test_time_shuffles_days_and_reads_one_column(spark):
     assert re.search(r"Project \[.*weekofyear.*\n\s*\+- HashAggregate", plan)
 
 
+def below(plan: str, text: str) -> str:
+    """The lines of the part of a plan whose first line has ``text``."""
+    lines = plan.split("\n")
+    first = next(k for k, line in enumerate(lines) if text in line)
+    depth = [len(line) - len(line.lstrip(" :+-")) for line in lines]
+    last = next((k for k in range(first + 1, len(lines)) if depth[k] <= depth[first]), len(lines))
+    return "\n".join(lines[first:last])
+
+
 def test_arrivals_are_counted_before_the_lists_are_joined(spark):
-    plan = physical(QUERIES["nationalities_from_extract"](spark, SF_DIR))
-    assert plan.index("i94_port") < plan.index("partial_sum(lines") < plan.index("o_custkey") < plan.index("partial_count(1)")
+    plan = QUERIES["nationalities_from_extract"](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    counted = below(plan, "Aggregate [i94port")
+    assert "Relation [l_orderkey" in counted and "Relation [o_orderkey" in counted
+    assert "Relation [s_suppkey" not in counted and "n_name" not in counted
+    assert "Relation [s_suppkey" in plan and plan.count("Aggregate") == 2
+
+
+@pytest.mark.parametrize("limit, shuffled", [("64m", 0), ("-1", 1)])
+def test_line_items_are_shuffled_once_at_most(spark, limit, shuffled):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, limit)
+    try:
+        plan = physical(QUERIES["dropped_rows"](spark, SF_DIR))
+    finally:
+        spark.conf.set(name, before)
+    exchanged = [below(plan, line) for line in plan.split("\n") if "Exchange hashpartitioning(l_orderkey" in line]
+    assert len(exchanged) == shuffled
 
 
 def test_fact_has_no_shuffle_of_its_own(spark):
@@ -114,3 +140,48 @@ def test_contract(spark):
     first = contract.entry(spark)
     assert first.columns == ["airport_id", "airport_name", "airport_state", "entries", "nationalities"]
     assert first.count() > 0
+
+
+def nodes(plan):
+    """All nodes of a plan that has run, those of its finished stages among them."""
+    yield plan
+    name = plan.nodeName()
+    if name.startswith("AdaptiveSparkPlan"):
+        below_ = [plan.executedPlan()]
+    elif "QueryStage" in name:
+        below_ = [plan.plan()]
+    else:
+        below_ = [plan.children().apply(k) for k in range(plan.children().size())]
+    for node in below_:
+        yield from nodes(node)
+
+
+def shuffled_rows(df) -> int:
+    """Rows of the largest shuffle of a query."""
+    df.collect()
+    written = [n.metrics().get("shuffleRecordsWritten") for n in nodes(df._jdf.queryExecution().executedPlan())]
+    return max(m.get().value() for m in written if m.isDefined())
+
+
+def test_rows_without_an_entry_are_dropped_before_the_shuffle(spark):
+    names = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+    }
+    before = {name: spark.conf.get(name, None) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        path = workspace(spark)
+        write_overwrite(b.clean(spark, SF_DIR, "cicid", "i94port"), f"{path}/rows")
+        write_overwrite(b.ports(spark, SF_DIR).where("i94_port in ('P1', 'P2')"), f"{path}/ports")
+        rows, ports = scan_parquet(spark, f"{path}/rows"), scan_parquet(spark, f"{path}/ports")
+        plain = joins.join_lookup(rows, ports, "i94port", "i94_port")
+        filtered = joins.join_lookup_filtered(rows, ports, "i94port", "i94_port")
+        assert "might_contain" in physical(filtered) and "might_contain" not in physical(plain)
+        assert content(filtered.toArrow()) == content(plain.toArrow())
+        assert shuffled_rows(filtered) < shuffled_rows(plain) / 2
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)

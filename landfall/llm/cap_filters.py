@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from landfall.llm.buckets import shared_buckets, together, whole_groups
 from landfall.llm.components import components
@@ -65,7 +66,7 @@ def _by_size(batch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     starts = np.cumsum(sizes) - sizes
     for size in np.unique(sizes):
         rows = np.flatnonzero(sizes == size)
-        vectors = values[starts[rows][:, None] + np.arange(size)]
+        vectors = values[starts[rows][:, None] + np.arange(size)].astype(np.float64)
         yield rows, vectors / np.linalg.norm(vectors, axis=1)[:, None]
 
 
@@ -152,7 +153,9 @@ def vector_classes(vectors: DataFrame) -> DataFrame:
     and counted as often as they occur.  Vectors that are null, zero, or hold a null or
     non-finite component are linked with nothing; a null vec_id is in no class and kept.
     """
-    vector = F.col("embedding").cast("array<double>")
+    # Floats are shuffled as they are, at half the size, and read in double precision.
+    floats = vectors.schema["embedding"].dataType == T.ArrayType(T.FloatType(), True)
+    vector = F.col("embedding") if floats else F.col("embedding").cast("array<double>")
     rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), vector.alias("vector"))
     rows = stored(rows.groupBy("vec_id").agg(F.min("vector").alias("vector")))
     sound = F.col("vec_id").isNotNull() & usable(F.col("vector"))

@@ -67,14 +67,12 @@ def nationalities_by_airport(fact: DataFrame, airports: DataFrame) -> DataFrame:
 def nationality_bits(fact: DataFrame, *more: str) -> DataFrame:
     """Arrivals and the set of country codes of each airport, and of each value of ``more``, in a form that can be merged.
 
-    A set is bitmaps of 4 kB, one for each 32,768 codes, so a row takes the same space however many
-    arrivals it stands for.  Rows are counted in each task before they are shuffled.
+    A set is bitmaps of 8 bytes, one for each 64 codes that has any, so a row takes the same space however
+    many arrivals it stands for.  Arrivals are merged in each task before they are shuffled, once.
     """
-    number = code_number(F.col("country_code"))
-    coded = fact.select("airport_id", *more, number.alias("_code"))
-    counted = coded.groupBy("airport_id", *more, "_code").agg(F.count(F.lit(1)).alias("entries"))
+    coded = fact.select("airport_id", *more, code_number(F.col("country_code")).alias("_code"))
     place = F.coalesce(bitmap_place(F.col("_code")), F.lit(0).cast("bigint")).alias("place")
-    return counted.groupBy("airport_id", *more, place).agg(F.sum("entries").alias("entries"), bits_of(F.col("_code")).alias("bits"))
+    return coded.groupBy("airport_id", *more, place).agg(F.count(F.lit(1)).alias("entries"), bits_of(F.col("_code")).alias("bits"))
 
 
 def nationalities_from_bits(bits: DataFrame, airports: DataFrame) -> DataFrame:

@@ -248,6 +248,20 @@ def test_merged_bitmaps_count_each_code_once(spark):
     assert spark.createDataFrame([(None,)], "c string").select(bitmaps.code_number(F.col("c"))).first()[0] is None
 
 
+def test_bitmaps_are_a_few_bytes_merged_in_hash_maps(spark):
+    rows = [("A", 1, "0"), ("A", 1, "63"), ("A", 1, "64"), ("A", 2, "63"), ("A", 2, None), ("B", 1, None)]
+    found = answers.nationality_bits(spark.createDataFrame(rows, "airport_id string, m int, country_code string"), "m")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert dict(found.dtypes)["bits"] == "bigint" and "SortAggregate" not in plan and plan.count("Exchange") == 1
+    assert {(r["airport_id"], r["m"], r["place"]): (r["entries"], r["bits"]) for r in found.collect()} == {
+        ("A", 1, 0): (2, 1 - 2**63), ("A", 1, 1): (1, 1), ("A", 2, 0): (1 + 1, -(2**63)), ("B", 1, 0): (1, 0),
+    }
+    airports = spark.createDataFrame([("A", "N", "S"), ("B", "N", "S")], "airport_id string, airport_name string, airport_state string")
+    merged = answers.nationalities_from_bits(found, airports)
+    assert "SortAggregate" not in merged._jdf.queryExecution().executedPlan().toString()
+    assert {r["airport_id"]: (r["entries"], r["nationalities"]) for r in merged.collect()} == {"A": (5, 3), "B": (1, 0)}
+
+
 # Reads by day, numbers, clustered files
 
 

@@ -24,38 +24,59 @@ def offsets(counts: DataFrame) -> DataFrame:
     return sizes.select(F.inline(F.transform("sizes", before)))
 
 
+def in_ranges(distinct: DataFrame) -> DataFrame:
+    """Distinct rows sorted in ranges and written, each with an ``_id`` of its range and its place there."""
+    spark, names, path = distinct.sparkSession, distinct.columns, workspace(distinct.sparkSession)
+    placed = distinct.repartitionByRange(*names).sortWithinPartitions(*names).withColumn("_id", F.monotonically_increasing_id())
+    # Written once: ranges come from a sample and would not be the same twice.
+    placed.write.parquet(path)
+    return spark.read.schema(placed.schema).parquet(path)
+
+
+def counted_on(placed: DataFrame, start: int) -> DataFrame:
+    """Rows of ``in_ranges`` with a ``number`` in place of their id: a range goes on where the one before it ends."""
+    rows = placed.withColumn("part", F.shiftright("_id", ROW_BITS))
+    first = offsets(rows.groupBy("part").agg(F.count(F.lit(1)).alias("n")))
+    place = F.col("_id").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
+    names = [c for c in placed.columns if c != "_id"]
+    # A row a range: Spark can't tell that this side is short.
+    return rows.join(F.broadcast(first), "part").select(*names, (F.col("offset") + place + F.lit(start)).alias("number"))
+
+
 def dense_numbers(keys: DataFrame, start: int = 0) -> DataFrame:
     """Each distinct row of ``keys`` with a ``number``, from ``start`` on in the order of the rows.
 
     Rows are sorted in ranges; a range is numbered apart and then moved on by the rows of the ranges
     before it.  The number depends on the keys alone, not on how they were dealt.
     """
-    spark, names, path = keys.sparkSession, keys.columns, workspace(keys.sparkSession)
-    distinct = keys.distinct()
-    placed = distinct.repartitionByRange(*names).sortWithinPartitions(*names).withColumn("_id", F.monotonically_increasing_id())
-    # Written once: ranges come from a sample and would not be the same twice.
-    placed.write.parquet(path)
-    rows = spark.read.schema(placed.schema).parquet(path).withColumn("part", F.shiftright("_id", ROW_BITS))
-    first = offsets(rows.groupBy("part").agg(F.count(F.lit(1)).alias("n")))
-    place = F.col("_id").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
-    return rows.join(first, "part").select(*names, (F.col("offset") + place + F.lit(start)).alias("number"))
+    return counted_on(in_ranges(keys.distinct()), start)
+
+
+def unknown(keys: DataFrame, known: DataFrame) -> DataFrame:
+    """The distinct rows of ``keys`` that ``known`` lacks, nulls being equal; both are shuffled once."""
+    names = keys.columns
+    marked = keys.withColumn("_known", F.lit(False)).unionByName(known.select(*names, F.lit(True).alias("_known")))
+    return marked.groupBy(*names).agg(F.bool_or("_known").alias("_known")).where(~F.col("_known")).select(*names)
 
 
 def numbered(spark: SparkSession, base: str, name: str, keys: DataFrame) -> DataFrame:
     """The key map ``name`` below ``base`` with the new keys of ``keys`` added; numbers given before stay.
 
-    The map is a snapshot: a run that fails has given no number.  A run over known keys writes nothing.
+    The map is a snapshot: a run that fails has given no number.  A run over known keys adds nothing.
+    Keys are computed once: whether any are new is asked of what was sorted and written.
     """
     update = Update(spark, base)
     known, start = update.read_former(name), 0
-    if known is not None:
+    if known is None:
+        placed = in_ranges(keys.distinct())
+    else:
         known = known.drop("batch")
         start = known.agg(F.max("number")).first()[0] + 1
-        same = [F.col(f"new.{c}").eqNullSafe(F.col(f"old.{c}")) for c in keys.columns]
-        keys = keys.distinct().alias("new").join(known.alias("old"), same, "left_anti")
-        if keys.isEmpty():
+        placed = in_ranges(unknown(keys, known))
+        if placed.isEmpty():
             return known
     batch = len({part for table, part in update.entries if table == name}) + 1
-    update.write(name, dense_numbers(keys, start).withColumn("batch", F.lit(batch)), NUMBERS, [])
+    # The files of ranges are few and of one batch, so they need no other shuffle.
+    update.write(name, counted_on(placed, start).withColumn("batch", F.lit(batch)), NUMBERS, [], rebalance=False)
     update.publish()
     return read_snapshot(spark, base, name).drop("batch")

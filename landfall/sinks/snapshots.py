@@ -68,16 +68,24 @@ class Update:
         """What readers see of a table, or of some of its parts, until this is published."""
         return _read(self.spark, self.base, table, parts, self.former)
 
-    def write(self, table: str, df: DataFrame, layout: Layout = Layout(), replaced: Iterable[str] | None = None) -> DataFrame:
+    def write(
+        self,
+        table: str,
+        df: DataFrame,
+        layout: Layout = Layout(),
+        replaced: Iterable[str] | None = None,
+        rebalance: bool = True,
+    ) -> DataFrame:
         """Writes rows beside the versions there are, and returns them as written.
 
         The parts named in ``replaced`` go, whether they have new rows or not; without it all parts of the table go.
+        Rows whose tasks each have few parts may be spared the shuffle by ``rebalance``, as in ``write_partitioned``.
         """
         folder = f"{table}/version={self.version}"
         path = f"{self.base}/{folder}"
         columns = [*layout.parts, *layout.by]
         if columns:
-            write_partitioned(df, path, columns, layout.order, append=True)
+            write_partitioned(df, path, columns, layout.order, append=True, rebalance=rebalance)
         else:
             df.write.parquet(path)
         self.drop(table, replaced)

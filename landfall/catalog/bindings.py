@@ -37,6 +37,8 @@ TABLES = {
     "l_shipdate TIMESTAMP_NTZ",
 }
 
+# Fixed value: the column whose values are folders of extracts.
+EXTRACT_NAME = "extract"
 RECORD = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]
 
 
@@ -95,8 +97,18 @@ def broadcastable(df: DataFrame) -> bool:
     return 0 <= df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() <= limit
 
 
-def crossings(spark: SparkSession, sf_dir: str, *wanted: str) -> DataFrame:
-    """The extract, or the wanted columns of it, over all line items."""
+def extract_name(year: Column, month: Column) -> Column:
+    """Rows of a month are named like a monthly extract."""
+    day = F.to_date(F.concat_ws("-", year.cast("int"), month.cast("int"), F.lit("1")), "y-M-d")
+    return F.concat(F.lit("i94_"), F.lower(F.date_format(day, "MMMyy")), F.lit("_sub"))
+
+
+def crossings(spark: SparkSession, sf_dir: str, *wanted: str, by_extract: bool = False) -> DataFrame:
+    """The extract, or the wanted columns of it, over all line items.
+
+    With ``by_extract`` rows come as ``write_extracts`` needs them, with their ``extract``: dealt and sorted
+    by it while they are still line items, of half the size.
+    """
     names = list(wanted) or EXTRACT.names
     rows = table(spark, sf_dir, "lineitem")
     values = {name: LINE_COLUMNS[name]() for name in names if name in LINE_COLUMNS}
@@ -120,6 +132,11 @@ def crossings(spark: SparkSession, sf_dir: str, *wanted: str) -> DataFrame:
         parts = table(spark, sf_dir, "part")
         rows = rows.join(parts, rows["l_partkey"] == parts["p_partkey"], "left")
         values["airline"] = _null_when(F.col("l_tax") == 0, F.col("p_brand"))
+    if by_extract:
+        rows = rows.withColumn(EXTRACT_NAME, extract_name(LINE_COLUMNS["i94yr"](), LINE_COLUMNS["i94mon"]()))
+        rows = rows.hint("rebalance", F.col(EXTRACT_NAME)).sortWithinPartitions(EXTRACT_NAME)
+        values[EXTRACT_NAME] = F.col(EXTRACT_NAME)
+        names = [*names, EXTRACT_NAME]
     return rows.select([values[name].alias(name) for name in names])
 
 
@@ -231,10 +248,10 @@ def clean(spark: SparkSession, sf_dir: str, *wanted: str) -> DataFrame:
 
 def write_extracts(crossed: DataFrame, root: str) -> None:
     """One folder of parts a month below ``root``, named like a monthly extract."""
-    day = F.to_date(F.concat_ws("-", F.col("i94yr").cast("int"), F.col("i94mon").cast("int"), F.lit("1")), "y-M-d")
-    mark = F.lower(F.date_format(day, "MMMyy"))
-    named = crossed.withColumn("extract", F.concat(F.lit("i94_"), mark, F.lit("_sub")))
-    named.hint("rebalance", F.col("extract")).write.mode("append").partitionBy("extract").parquet(root)
+    if EXTRACT_NAME not in crossed.columns:
+        crossed = crossed.withColumn(EXTRACT_NAME, extract_name(F.col("i94yr"), F.col("i94mon")))
+        crossed = crossed.hint("rebalance", F.col(EXTRACT_NAME))
+    crossed.write.mode("append").partitionBy(EXTRACT_NAME).parquet(root)
 
 
 RAW_LISTS = {"ports": raw_ports, "countries": raw_countries, "iso": raw_iso, "iata": raw_iata}

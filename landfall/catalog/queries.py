@@ -120,7 +120,7 @@ def row_counts(named):
 @register("scan_admissions")
 def _(spark, sf):
     root = workspace(spark)
-    b.write_extracts(b.crossings(spark, sf), root)
+    b.write_extracts(b.crossings(spark, sf, by_extract=True), root)
     return extracts.scan_admissions(spark, root, b.BOUND_EXTRACT)
 
 

@@ -738,13 +738,12 @@ def _(spark, sf):
 def updated(spark, sf):
     """Two updates: some months come first, then come again; the others only in the second delivery."""
     base = workspace(spark)
-    crossed = b.crossings(spark, sf)
+    crossed = b.crossings(spark, sf, by_extract=True)
     countries, ports = b.countries(spark, sf), b.ports(spark, sf)
-    changed = F.col("i94yr") == CHANGED_YEAR
-    later = crossed.withColumn("depdate", F.lit(None).cast("double"))
+    later = crossed.withColumn("depdate", F.when(F.col("i94yr") != CHANGED_YEAR, F.col("depdate")))
     deliveries = {
         "first": crossed.where(F.col("i94yr") <= CHANGED_YEAR),
-        "second": later.where(changed).unionByName(crossed.where(F.col("i94yr") > CHANGED_YEAR)),
+        "second": later.where(F.col("i94yr") >= CHANGED_YEAR),
     }
     for name, rows in deliveries.items():
         b.write_extracts(rows, f"{base}/in/{name}")

@@ -96,6 +96,17 @@ def follow(update: Update, table: str, now: DataFrame | None, parts: list[str])
     update.write(table, rows, layout, touched)
 
 
+def with_extract_month(extract: DataFrame) -> DataFrame:
+    """Adds the year and month in the name of the file each row came from.
+
+    Names are taken apart once a file, not once a row: the files are a short list that meets the rows.
+    """
+    rows = extract.withColumn("_file", F.col("_metadata.file_path"))
+    file = F.col("_file")
+    files = rows.select("_file").distinct().select("_file", year_number(file).alias(MONTH[0]), month_number(file).alias(MONTH[1]))
+    return rows.join(F.broadcast(files), "_file").drop("_file")
+
+
 def rebuild_months(
     spark: SparkSession,
     months: DataFrame,
@@ -114,8 +125,7 @@ def rebuild_months(
     if not wanted:
         return
     extract = scan_admissions(spark, [p for m in wanted for p in m["paths"]], schema, pattern=pattern)
-    path = F.col("_metadata.file_path")
-    dated = fill_nulls(extract.withColumns({"extract_year": year_number(path), "extract_month": month_number(path)}))
+    dated = fill_nulls(with_extract_month(extract))
     parts = month_parts((m["extract_year"], m["extract_month"]) for m in wanted)
     kept = {name: name for name in MONTH}
     days = dated.select(whole_day(F.col("arrdate")).alias("arrdate"), *MONTH).distinct()

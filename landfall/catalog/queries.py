@@ -90,7 +90,7 @@ def written_extracts(spark, sf):
 
 def staged(spark, sf):
     base = workspace(spark)
-    b.write_extracts(b.crossings(spark, sf), f"{base}/extracts")
+    b.write_extracts(b.crossings(spark, sf, by_extract=True), f"{base}/extracts")
     lists = {name: b.write_list(spark, sf, name, f"{base}/lists") for name in ("ports", "countries", "iso")}
     return staging.stage(spark, f"{base}/extracts", **lists, schema=b.BOUND_EXTRACT)
 
